@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locus.llm.common import drop_written, shuffle_partitions, table, whole, written
+from locus.llm.common import shuffle_partitions, table, whole, written
 
 RUN = "digest long, sha binary, n_bytes long, keep_id long, keep_run long, copies long"
 

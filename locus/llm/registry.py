@@ -1,9 +1,12 @@
 """The queries of this folder, by name, and the SQL that some of them equal."""
 
-from locus.llm import exact_dedup
+from locus.llm import chat, exact_dedup, media, packing
 
 QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_media_columns": media.op7_media_columns,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
 SQL = {
