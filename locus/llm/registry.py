@@ -1,12 +1,14 @@
 """The queries of this folder, by name, and the SQL that some of them equal."""
 
-from locus.llm import chat, exact_dedup, media, packing
+from locus.llm import chat, exact_dedup, media, mixing, packing, quality
 
 QUERIES = {
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_media_columns": media.op7_media_columns,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op10_mixing_sources": mixing.op10_mixing_sources,
 }
 
 SQL = {
