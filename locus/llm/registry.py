@@ -1,6 +1,6 @@
 """The queries of this folder, by name, and the SQL that some of them equal."""
 
-from locus.llm import chat, exact_dedup, media, mixing, packing, quality
+from locus.llm import chat, exact_dedup, media, mixing, packing, quality, secrets
 
 QUERIES = {
     "op3_quality_classifier": quality.op3_quality_classifier,
@@ -8,6 +8,7 @@ QUERIES = {
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_media_columns": media.op7_media_columns,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_secret_scans": secrets.op9_secret_scans,
     "op10_mixing_sources": mixing.op10_mixing_sources,
 }
 
