@@ -1,9 +1,10 @@
 """The queries of this folder, by name, and the SQL that some of them equal."""
 
-from locus.llm import chat, exact_dedup, media, mixing, packing, quality, secrets
+from locus.llm import chat, exact_dedup, media, mixing, packing, quality, secrets, substring_dedup
 
 QUERIES = {
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_media_columns": media.op7_media_columns,
