@@ -51,3 +51,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def whole(text: str = "text"):
     """The text column, null as empty."""
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def written_buckets(df: DataFrame, tag: str, key: str, n: int) -> DataFrame:
+    """As written(), in n buckets by key: what is grouped by that key later need not be moved again."""
+    spark, name = df.sparkSession, f"locus_{tag}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(n, key).option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
