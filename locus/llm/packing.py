@@ -16,6 +16,7 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,10 +46,29 @@ class _Vocabulary(dict):
         return at
 
     def settle(self) -> None:
-        found = [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch([w.decode() for w in self.new], add_special_tokens=False)]
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, *found])
-        self.new = []
+        """Encode the new words, many as one text: a call for each costs more than the words do. Which
+        word an id belongs to follows from where in that text it stands."""
+        words, self.new = [w.decode() for w in self.new], []
+        lengths, ids = np.zeros(len(words), np.int64), [self.ids]
+        for at in range(0, len(words), 256):
+            part = words[at : at + 256]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(w) + 1 for w in part)])[:-1]
+            stands = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]
+            lengths[at : at + 256] = np.bincount(np.searchsorted(begins, stands, "right") - 1, minlength=len(part))
+            ids.append(np.asarray(found.ids, np.uint32))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate(ids)
+
+
+_KEPT: dict[str, _Vocabulary] = {}
+
+
+def vocabulary(path: str, most_words: int) -> _Vocabulary:
+    """The words that this Python process has met, begun anew beyond ``most_words``."""
+    if path not in _KEPT or len(_KEPT[path]) > most_words:
+        _KEPT[path] = _Vocabulary(path)
+    return _KEPT[path]
 
 
 def encoded(texts: list[str], words: _Vocabulary, end: int) -> Iterator[np.ndarray]:
@@ -73,12 +93,11 @@ PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, ui
 
 def _pieces(path: str, size: int, end: int, most_words: int = 1_000_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, uid = None, TaskContext.get().partitionId() << 40
+        uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # a few texts at once, however long they are
                 part = batch.slice(at, 256)
-                if words is None or len(words) > most_words:
-                    words = _Vocabulary(path)
+                words = vocabulary(path, most_words)
                 out: list[tuple] = []
                 for doc, ids in zip(part.column(0).to_pylist(), encoded(part.column(1).to_pylist(), words, end), strict=True):
                     for k, start in enumerate(range(0, len(ids), size)):
