@@ -1,8 +1,9 @@
 """The queries of this folder, by name, and the SQL that some of them equal."""
 
-from locus.llm import chat, exact_dedup, media, mixing, packing, quality, secrets, substring_dedup, suffix_model
+from locus.llm import chat, exact_dedup, jaccard_join, media, mixing, packing, quality, secrets, substring_dedup, suffix_model
 
 QUERIES = {
+    "op1_ngram_jaccard_join": jaccard_join.op1_ngram_jaccard_join,
     "op2_suffix_tree_scores": suffix_model.op2_suffix_tree_scores,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
