@@ -59,11 +59,11 @@ def signature(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
-SIGNED = "doc_id long, uid long, digest binary, n_grams int, bands array<long>"
+SIGNED = "doc_id long, uid long, h1 long, h2 long, digest binary, n_grams int, bands array<long>"
 
 
 def _sign(n: int, bands: int, rows: int, seed: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("digest", pa.binary()), ("n_grams", pa.int32()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("digest", pa.binary()), ("n_grams", pa.int32()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(seed)
@@ -73,16 +73,16 @@ def _sign(n: int, bands: int, rows: int, seed: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                for doc, uid, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                for *row, text in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
                     grams = shingles(text, n)
                     if len(grams):
                         s = signature(grams, a, b).reshape(bands, rows).astype(np.uint64)
                         h = salt
                         for i in range(rows):
                             h = paired(h, s[:, i])
-                        out.append((doc, uid, hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), len(grams), h.view(np.int64)))
+                        out.append((*row, hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), len(grams), h.view(np.int64)))
                     else:
-                        out.append((doc, uid, None, 0, None))
+                        out.append((*row, None, 0, None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
@@ -171,11 +171,13 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
     A null id counts as the largest. An empty table gives an empty result.
     """
     bands, rows = bands_and_rows(similarity, recall)
-    numbered = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id().alias("uid"), whole(text_col).alias("text"))
+    key = (F.col(id_col).isNull(), F.col(id_col), whole(text_col))
+    hashes = (F.xxhash64(*key).alias("h1"), F.xxhash64(F.lit(seed), *key).alias("h2"))
+    numbered = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id().alias("uid"), *hashes, whole(text_col).alias("text"))
     signed = written(numbered.mapInArrow(_sign(n, bands, rows, seed), SIGNED), "signed")
 
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    classes = signed.filter("digest IS NOT NULL").groupBy("digest").agg(F.min_by(F.struct("uid", "doc_id", "n_grams", "bands"), order).alias("r"), F.count(F.lit(1)).alias("copies"))
+    classes = signed.filter("digest IS NOT NULL").groupBy("digest").agg(F.min_by(F.struct("uid", "h1", "h2", "doc_id", "n_grams", "bands"), order).alias("r"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes.select("digest", "r.*", "copies"), "classes")
 
     bucketed = classes.select("uid", F.posexplode("bands").alias("band", "hash"))
@@ -185,7 +187,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
     near = written(near.unionByName(near.select("root").distinct().select(F.col("root").alias("v"), "root")).select(F.col("v").alias("uid"), "root"), "near")
 
     # blocks: small components whole, others by size class and number
-    members = classes.select("uid", "n_grams", "copies").join(near, "uid").withColumn("size", F.floor(F.log("n_grams") / F.lit(math.log(1 / similarity) if similarity < 1 else 1.0)).cast("int"))
+    members = classes.select("uid", "h1", "h2", "n_grams", "copies").join(near, "uid").withColumn("size", F.floor(F.log("n_grams") / F.lit(math.log(1 / similarity) if similarity < 1 else 1.0)).cast("int"))
     counts = members.groupBy("root", "size").agg(F.count(F.lit(1)).alias("n"))
     parts = counts.groupBy("root").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("size", F.ceil(F.col("n") / block_sets).cast("int")))).alias("parts"))
     members = members.join(parts, "root")
@@ -199,7 +201,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
     dealt = members.select("uid", "copies", "root", "block", F.explode(others).alias("other"))
     dealt = dealt.select("uid", "copies", "root", "block", F.least("block", "other").alias("pair_first"), F.greatest("block", "other").alias("pair_second"))
 
-    sets = numbered.join(members.select("uid"), "uid", "left_semi").select("uid", "text").mapInPandas(_sets(n), GRAMS)
+    # texts are found again by hashes of their rows, which are the same whenever docs are read
+    texts = docs.select(*hashes, whole(text_col).alias("text")).join(members.select("uid", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+    sets = texts.select("uid", "text").mapInPandas(_sets(n), GRAMS)
     tasks = dealt.join(sets.select("uid", "grams"), "uid")
     found = written(tasks.groupBy("root", "pair_first", "pair_second").applyInPandas(_verify(similarity), LINKS), "links")
     links = found.filter("uid IS NOT NULL").groupBy("uid").agg(F.sum("links").alias("links"))
