@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from locus.functions import alignment as al
 from locus.functions import sequence as sq
-from locus.operators import annotate, clusters, coverage, metagene, motifs, orfs, reads, variants
+from locus.operators import annotate, clusters, coverage, donors, guides, metagene, motifs, orfs, reads, variants
 from locus.operators.intervals import KEYS, overlaps
 from locus.plans import projections as p
 
@@ -550,3 +550,115 @@ def disruption_score(spark, d):
 @query()
 def edit_distance(spark, d):
     return _pairs(spark, d).select("chrom", al.edit_distance_column(F.col("donor"), F.col("guide")).alias("distance"))
+
+
+# ---- guides and donors ------------------------------------------------------------------------------------
+
+_GUIDES = """, w AS (SELECT chrom, i, seq FROM genome, unnest(generate_series(0, length(seq) - 3)) AS u(i)),
+g AS (SELECT chrom, i AS pam_first, '+' AS pam_strand, substring(seq, i + 1, 3) AS pam, substring(seq, i - 19, 20) AS guide FROM w WHERE i >= 20 UNION ALL
+SELECT chrom, i, '-', translate(reverse(substring(seq, i + 1, 3)), 'ACGT', 'TGCA'), translate(reverse(substring(seq, i + 4, 20)), 'ACGT', 'TGCA') FROM w WHERE i + 23 <= length(seq)) SELECT * FROM g WHERE pam LIKE '_GG'"""
+
+
+def _guides(spark, d):
+    return guides.find_guides(p.genome(spark, d))
+
+
+@query(_GUIDES, "genome")
+def guide_search(spark, d):
+    return _guides(spark, d).drop("target").withColumn("pam_first", F.col("pam_first").cast("long"))
+
+
+@query(_GUIDES + " AND guide NOT LIKE '%TTTT%' AND guide NOT LIKE '%ACAC%'", "genome")
+def guide_screens(spark, d):
+    return guides.screened(_guides(spark, d), 3, ["ACAC"]).select("chrom", F.col("pam_first").cast("long").alias("pam_first"), "pam_strand", "pam", "guide")
+
+
+@query()
+def scored_guides(spark, d):
+    """Each target's score is made from its text."""
+    g = _guides(spark, d)
+    spans = p.genome(spark, d).select(F.col("chrom").alias("orf"), "chrom", F.lit(60).alias("first"), F.lit(160).alias("last"))
+    mm = lambda k: F.pmod(F.xxhash64("target", F.lit(k)), F.lit(2)).alias(f"m{k}")
+    return guides.scored_guides(g, spans, g.select(F.col("target").alias("aseq"), mm(0), mm(1), mm(2)).distinct())
+
+
+def _calls(spark, d):
+    """A few variants inside each sequence: a substitution, a deletion and an insertion."""
+    own = p.genome(spark, d).filter(F.length("seq") >= 160)
+    at = own.withColumn("pos", F.explode(F.sequence(F.lit(60), F.length("seq") - 80, F.lit(37))))
+    ref = F.substring("seq", F.col("pos"), 1 + F.col("pos") % 3)
+    alt = F.when(F.col("pos") % 2 == 0, F.concat(F.translate(F.left(ref, F.lit(1)), "ACGT", "CATG"), F.lit("A"))).otherwise(F.translate(F.left(ref, F.lit(1)), "ACGT", "GTAC"))
+    return at.select("chrom", F.col("pos").cast("long").alias("pos"), ref.alias("ref"), alt.alias("alt"))
+
+
+@query()
+def natural_variant_oligos(spark, d):
+    return donors.natural_variant_oligos(_calls(spark, d), p.genome(spark, d))
+
+
+@query()
+def variant_statistics(spark, d):
+    return donors.variant_statistics(natural_variant_oligos(spark, d))
+
+
+def _synonyms():
+    code = orfs.genetic_code()
+    return {a: [c for c in code if code[c] == a] for a in code.values()}
+
+
+def _frames(spark, d):
+    """An ORF of twenty codons in each sequence, in one exon."""
+    own = p.genome(spark, d).filter(F.length("seq") >= 300)
+    cds = own.select(F.col("chrom").alias("orf"), "chrom", F.lit(130).alias("start"), F.lit(189).alias("end"), F.when(F.length("seq") % 2 == 0, "+").otherwise("-").alias("strand"), F.lit(0).alias("exon_ord"))
+    return cds
+
+
+def _library(spark, d):
+    genome = p.genome(spark, d)
+    codons = orfs.codons_of(_frames(spark, d), genome, whole=True)
+    spots = codons.withColumn("upstream", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("coord", F.when(F.col("strand") == "+", F.col("coords")[0]).otherwise(F.col("coords")[2]))
+    near = guides.proximal_guides(spots.select(F.concat_ws(":", "orf", "aa_num", "upstream").alias("key"), "chrom", "strand", "coord", "upstream"), _guides(spark, d))
+    rows = donors.saturation_rows(codons, near, genome)
+    return donors.saturation_library(rows, _synonyms(), {"GCT", "GAT", "AAA"})
+
+
+@query()
+def saturation_library(spark, d):
+    return donors.combined_libraries([_library(spark, d)])
+
+
+@query()
+def saturation_oligos(spark, d):
+    library = _library(spark, d)
+    pools = donors.subpools(library.select("orf", "range_first", "range_last").distinct().withColumn("orf_first", F.lit(129)))
+    return donors.library_oligos(library, pools, donors.Layout())
+
+
+@query()
+def substitution_oligos(spark, d):
+    genome = p.genome(spark, d)
+    codons = orfs.codons_of(_frames(spark, d), genome, one_based=True, whole=True)
+    lists = codons.groupBy("orf", "chrom", "strand").agg(F.array_sort(F.collect_list(F.struct("aa_num", "codon", "coords"))).alias("x"))
+    frames = lists.select("orf", "chrom", "strand", F.transform("x", lambda x: x["codon"]).alias("codons"), F.transform("x", lambda x: x["coords"]).alias("coords"))
+    edits = codons.filter("aa_num IN (5, 9, 14)").withColumn("alt_codons", F.array(F.when(F.col("aa") == "A", "GGT").otherwise("GCT"))).withColumn("key", F.concat_ws(":", "orf", "aa_num"))
+    place = edits.select("key", "chrom", "strand", F.array_min("coords").alias("left"), F.array_max("coords").alias("right"), F.floor((F.col("coords")[0] + F.col("coords")[2]) / 2).cast("int").alias("mid"))
+    near = guides.guides_for_edits(place, guides.screened(_guides(spark, d), 4).withColumn("pam_coord", F.col("pam_first")))
+    near = near.withColumn("s", orfs.synonymous_changes(F.col("left"), F.col("right"), F.col("pam_coord"), F.col("pam_strand")))
+    listed = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "guide", "pam", "pam_strand", F.col("pam_coord").cast("int").alias("pam_coord"), F.col("distance").cast("int").alias("distance"), "s.to_left", "s.to_right"))).alias("guides"))
+    rows = edits.select("key", "orf", "chrom", "strand", F.array("aa_num").alias("aa_nums"), "alt_codons", F.array_min("coords").alias("low")).join(frames, ["orf", "chrom", "strand"]).join(listed, "key", "left")
+    rows = guides.flanks(rows, genome, F.col("low") - 800, F.col("low") + 800)
+    return donors.substitution_oligos(rows, _synonyms(), donors.Layout())
+
+
+@query()
+def disrupted_literally(spark, d):
+    return _pairs(spark, d).select("chrom", guides.disrupted_literally(F.substring("guide", 1, 20), F.col("donor"), F.concat(F.col("guide"), F.col("donor"))).alias("disrupted"))
+
+
+@query(", c AS (SELECT unnest(['" + "', '".join(orfs.genetic_code()) + "']) AS codon), k AS (SELECT codon, (" + _CODE + """)[codon] AS aa, row_number() OVER () AS ord FROM c), x AS (SELECT a.codon, b.codon AS other, b.ord, (substring(a.codon, 1, 1) <> substring(b.codon, 1, 1))::INTEGER + (substring(a.codon, 2, 1) <> substring(b.codon, 2, 1))::INTEGER + (substring(a.codon, 3, 1) <> substring(b.codon, 3, 1))::INTEGER AS d FROM k a JOIN k b USING (aa))
+SELECT codon, arg_max(other, d * 100 - ord) AS farthest, coalesce(arg_min(other, d * 100 + ord) FILTER (d > 0), codon) AS nearest FROM x GROUP BY codon""", "genome")
+def synonym_choice(spark, d):
+    """the synonyms that differ most and least."""
+    table = orfs.codon_table(spark)
+    lists = table.groupBy("aa").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "codon"))), lambda x: x["codon"]).alias("all"))
+    return table.join(lists, "aa").select("codon", orfs.farthest(F.col("codon"), F.col("all")).alias("farthest"), orfs.nearest_other(F.col("codon"), F.col("all")).alias("nearest"))
