@@ -140,7 +140,7 @@ def categorised(design: dict, lay: Layout) -> Iterator[dict]:
     of T; none if a site is in guide, donor or a junction; and the donor before the guide where sites on both
     sides forbade a shift."""
     guide, donor = design["guide"], design["donor"]
-    found = guide_alignment(donor, design["guide_pam"], design["guide_pam"])
+    found = guide_alignment(donor, design["guide_pam"], lay.pam)
     near = min(found["disruptions"], default=lay.guide + 1)
     part = next((i for i, most in enumerate(lay.partitions) if near <= most), len(lay.partitions) - 1)
     lows = (0, *lay.partitions)
