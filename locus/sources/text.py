@@ -14,7 +14,7 @@ from locus.functions.sequence import NUMERALS, mito, numeral, reverse_complement
 
 def lines(spark: SparkSession, path) -> DataFrame:
     """line and ord of files whose order matters: each file is one task's, its lines numbered."""
-    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     rows = files.select("file", F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("n", "line"))
     rank = F.dense_rank().over(Window.orderBy("file")) - 1
     names = files.select("file").distinct().withColumn("__f", rank)

@@ -257,7 +257,7 @@ def dense(features, track, up, body, down, strand_of):
             if strand == "-":
                 left, mid, right = right[::-1], mid[::-1], left[::-1]
             bins = [0.0] * body
-            for i, x in enumerate(mid):
+            for i, x in enumerate(mid if body else []):
                 bins[min(int(i * body / len(mid)), body - 1)] = x
             out[fid, side] = left + bins + right
     return out
