@@ -97,6 +97,12 @@ def priority_type(sites: DataFrame, types: DataFrame, priorities: list[str]) ->
     return out.withColumn("annotation_type", F.coalesce(name, none)).drop("__rank", "__any")
 
 
+def type_and_gene(sites: DataFrame, types: DataFrame, annotations: DataFrame, priorities: list[str]) -> DataFrame:
+    """sites with annotation_type, and gene_name, gene_id and sense of the coordinate lookup."""
+    named = coordinate_annotation(sites.select(*KEYS, "pos").distinct(), annotations).drop("sequence_type")
+    return priority_type(sites, types, priorities).join(named, [*KEYS, "pos"])
+
+
 def type_distribution(sites: DataFrame, types: DataFrame, priorities: list[str], by_mass: bool = True) -> DataFrame:
     """For each priority the sum of reads (or the number) of sites with that type, zeros too, ascending."""
     spark = sites.sparkSession

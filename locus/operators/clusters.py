@@ -7,8 +7,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locus.operators.annotate import type_and_gene
 from locus.operators.coverage import SITE
 from locus.operators.intervals import KEYS, stab
+from locus.operators.motifs import nearby_loop
 
 
 def numbered_islands(cov: DataFrame, flank: int) -> DataFrame:
@@ -58,7 +60,7 @@ GROWN = "chrom string, strand string, seed int, cstart int, cend int, cluster_re
 
 
 def _grow(flank: int, min_fold: float, floor: float, fraction: float, fold_floor: float):
-    def run(key, sites: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, sites: pd.DataFrame) -> pd.DataFrame:
         sites = sites.sort_values("pos")
         q, r, up = sites[sites["q"].notna()], sites[sites["r"].notna()], sites[sites["up"]]
         pos, reads = q["pos"].to_numpy(), q["q"].to_numpy()
@@ -110,7 +112,7 @@ PLAIN = "chrom string, strand string, seed int, cstart int, cend int, cluster_re
 
 
 def _plain(fraction: float):
-    def run(key, sites: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, sites: pd.DataFrame) -> pd.DataFrame:
         sites = sites.sort_values("pos")
         pos, reads = sites["pos"].to_numpy(), sites["reads"].to_numpy()
         start, end = int(pos[0]), int(pos[0]) + 1 if len(pos) == 1 else int(pos[-1])
@@ -133,3 +135,19 @@ def with_second_fold(clusters: DataFrame, query: DataFrame, reference: DataFrame
         sums = stab(cov.select(*SITE, "reads"), "pos", spans, "__first", "__last").groupBy(*KEYS, "__first", "__last").agg(F.sum("reads").alias(name))
         out = out.join(sums, [*KEYS, "__first", "__last"], "left").fillna(0.0, [name])
     return out.withColumn("second_fold", F.col("__q") / F.greatest("__r", F.lit(floor))).drop("__q", "__r", "__first", "__last")
+
+
+def annotated_clusters(clusters: DataFrame, types: DataFrame, annotations: DataFrame, priorities: list[str]) -> DataFrame:
+    """Clusters of either kind with annotation_type, gene_name, gene_id and sense at their peak."""
+    peaks = clusters.select(*KEYS, F.col("peak_pos").alias("pos")).distinct()
+    named = type_and_gene(peaks, types, annotations, priorities).withColumnRenamed("pos", "peak_pos")
+    return clusters.join(named, [*KEYS, "peak_pos"])
+
+
+def loop_clusters(cov: DataFrame, loops: DataFrame, types: DataFrame, annotations: DataFrame, priorities: list[str], flank: int, fraction: float = 0.8, reach: int = 10_000) -> DataFrame:
+    """Islands with their width, the loop near their seed, its distance, and the annotation of the seed (not
+    of the peak)."""
+    own = site_clusters(cov, flank, fraction)
+    seeds = own.select(*KEYS, F.col("seed").alias("pos")).distinct()
+    near = nearby_loop(type_and_gene(seeds, types, annotations, priorities), loops, reach).withColumnRenamed("pos", "seed")
+    return own.join(near, [*KEYS, "seed"]).withColumn("loop_distance", F.col("loop_pos") - F.col("seed"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from locus.functions.alignment import disruption_points, guide_alignment
 from locus.functions.sequence import IUPAC
 from locus.operators.guides import complement_text, flanks
-from locus.operators.orfs import genetic_code
+from locus.operators.orfs import farthest, genetic_code
 
 
 def fits(pattern: str, seq: str) -> bool:
@@ -308,7 +308,7 @@ def subpools(ranges: DataFrame, size: int = 110) -> DataFrame:
     the first begins at the ORF's first place, and one begins where a range isn't within the one before.
     Ranges longer than a window get none."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         first, number, out = int(pdf["orf_first"].iloc[0]), 0, []
         for a, b in sorted(set(zip(pdf["range_first"].astype(int), pdf["range_last"].astype(int), strict=True))):
             if not first <= a <= b <= first + size:
@@ -333,6 +333,26 @@ def library_oligos(library: DataFrame, pools: DataFrame, lay: Layout, first_prim
 # ---- amino acid substitutions -----------------------------------------------------------------------------
 
 
+def substitution_edits(substitutions: DataFrame, codons: DataFrame, synonyms: dict[str, list[str]]) -> DataFrame:
+    """One edit for each substitution (key, orf, aa_nums, alt_aas, alt_codons or null): all amino acids from
+    its first to its last, those between by synonyms; each new codon is the one given, or that of its amino
+    acid which differs most from the old one. ``codons`` as codons_of() gives them; chrom, strand, left, right
+    and mid (places of the changed codons) come with it."""
+    asked = substitutions.withColumn("aa_num", F.explode(F.sequence(F.array_min("aa_nums"), F.array_max("aa_nums"))))
+    at = F.array_position("aa_nums", F.col("aa_num"))
+    given = lambda c: F.when(at > 0, F.try_element_at(c, at.cast("int")))
+    rows = asked.join(codons.select("orf", "chrom", "strand", "aa_num", "codon", "aa", "coords"), ["orf", "aa_num"])
+    table = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for kv in synonyms.items() for x in kv])
+    alt = F.coalesce(given(F.col("alt_aas")), F.col("aa"))
+    new = F.coalesce(given(F.col("alt_codons")), farthest(F.col("codon"), F.try_element_at(table, alt)))
+    rows = rows.withColumns({"__alt": alt, "__new": new})
+    got = F.array_sort(F.collect_list(F.struct("aa_num", "aa", "codon", F.col("__alt").alias("alt"), F.col("__new").alias("new"), "coords")))
+    out = rows.groupBy("key", "orf", "chrom", "strand").agg(got.alias("x"))
+    take = lambda f: F.transform("x", lambda x: x[f])
+    first, last = F.col("x")[0]["coords"][0], F.element_at("x", -1)["coords"][2]
+    return out.select("key", "orf", "chrom", "strand", take("aa_num").alias("aa_nums"), take("aa").alias("ref_aas"), take("codon").alias("ref_codons"), take("alt").alias("alt_aas"), take("new").alias("alt_codons"), F.least(first, last).alias("left"), F.greatest(first, last).alias("right"), F.floor((first + last) / 2).cast("int").alias("mid"))
+
+
 def without_site(donor: str, site: str, synonyms: dict[str, list[str]], code: dict[str, str]) -> tuple[str, str]:
     """The donor with the codon at the site (or the next whole one) replaced by the synonym that differs
     least, and what was changed."""

@@ -35,6 +35,15 @@ def motif_scan(genome: DataFrame, motif: str, mismatches: int = 0, both: bool =
     return hits.select("chrom", "mstart", (F.col("mstart") + n).alias("mend"), F.when(minus, "-").otherwise("+").alias("strand"), F.col("kmer").alias("match"), F.when(minus, F.col("__a")).otherwise(F.col("__s")).alias("mismatches"))
 
 
+def motif_sites(genome: DataFrame, motif: str, mismatches: int = 0, both: bool = False) -> DataFrame:
+    """chrom, mstart, mend and mismatches of each place that matches on the plus strand (or either, with
+    ``both``): the fewer of both strands' mismatches, whichever matched."""
+    n = len(motif)
+    places = windows(genome, n).withColumns({"__s": hamming_to(motif, "kmer"), "__a": hamming_to(motif, reverse_complement("kmer", iupac=True))})
+    hits = places.filter((F.col("__s") <= mismatches) | ((F.col("__a") <= mismatches) if both else F.lit(False)))
+    return hits.select("chrom", "mstart", (F.col("mstart") + n).alias("mend"), F.least("__s", "__a").alias("mismatches"))
+
+
 def best_motif(spans: DataFrame, genome: DataFrame, motif: str, mismatches: int, buffer: int = 0) -> DataFrame:
     """spans (chrom, start, end) with the best match of the motif inside: fewest mismatches, leftmost, plus
     before minus; match is in the motif's direction. Spans without one at most ``mismatches`` away go."""

@@ -634,19 +634,41 @@ def saturation_oligos(spark, d):
     return donors.library_oligos(library, pools, donors.Layout())
 
 
+def _substitutions(spark, d):
+    """Three edits of each frame: one alanine, two amino acids with others between, and a given codon."""
+    orf = _frames(spark, d).select("orf")
+    edit = lambda name, nums, aas, codons: orf.select(F.concat(F.col("orf"), F.lit(name)).alias("key"), "orf", F.array(*map(F.lit, nums)).alias("aa_nums"), F.array(*map(F.lit, aas)).alias("alt_aas"), (F.array(*map(F.lit, codons)) if codons else F.lit(None).cast("array<string>")).alias("alt_codons"))
+    return edit(":a", [5], ["A"], None).unionByName(edit(":b", [9, 11], ["G", "K"], None)).unionByName(edit(":c", [14], ["L"], ["CTG"]))
+
+
+_EDITS_SQL = """, k AS (SELECT unnest(['""" + "', '".join(orfs.genetic_code()) + "']) AS codon), t AS (SELECT codon, (" + _CODE + """)[codon] AS aa, row_number() OVER () AS ord FROM k),
+g AS (SELECT chrom AS orf, CASE WHEN length(seq) % 2 = 0 THEN substring(seq, 130, 60) ELSE translate(reverse(substring(seq, 130, 60)), 'ACGT', 'TGCA') END AS s FROM genome WHERE length(seq) >= 300),
+c AS (SELECT orf, i AS aa_num, substring(s, cast(i * 3 - 2 AS integer), 3) AS codon FROM g, unnest(generate_series(1, 20)) AS u(i)),
+e AS (SELECT * FROM (VALUES (':a', 5, 'A', NULL), (':b', 9, 'G', NULL), (':b', 10, NULL, NULL), (':b', 11, 'K', NULL), (':c', 14, 'L', 'CTG')) AS v(name, aa_num, alt, given)),
+x AS (SELECT concat(c.orf, e.name) AS key, c.aa_num, c.codon, coalesce(e.alt, r.aa) AS alt, e.given FROM c JOIN e USING (aa_num) JOIN t r ON r.codon = c.codon),
+y AS (SELECT x.key, x.aa_num, x.codon, x.alt, coalesce(x.given, arg_max(t.codon, 100 * ((substring(t.codon, 1, 1) <> substring(x.codon, 1, 1))::INTEGER + (substring(t.codon, 2, 1) <> substring(x.codon, 2, 1))::INTEGER + (substring(t.codon, 3, 1) <> substring(x.codon, 3, 1))::INTEGER) - t.ord)) AS new FROM x JOIN t ON t.aa = x.alt GROUP BY x.key, x.aa_num, x.codon, x.alt, x.given)
+SELECT key, string_agg(codon, ',' ORDER BY aa_num) AS ref_codons, string_agg(alt, ',' ORDER BY aa_num) AS alt_aas, string_agg(new, ',' ORDER BY aa_num) AS alt_codons FROM y GROUP BY key"""
+
+
+@query(_EDITS_SQL, "genome")
+def substitution_edits(spark, d):
+    codons = orfs.codons_of(_frames(spark, d), p.genome(spark, d), one_based=True, whole=True)
+    out = donors.substitution_edits(_substitutions(spark, d), codons, _synonyms())
+    return out.select("key", *[F.array_join(c, ",").alias(c) for c in ("ref_codons", "alt_aas", "alt_codons")])
+
+
 @query()
 def substitution_oligos(spark, d):
     genome = p.genome(spark, d)
     codons = orfs.codons_of(_frames(spark, d), genome, one_based=True, whole=True)
     lists = codons.groupBy("orf", "chrom", "strand").agg(F.array_sort(F.collect_list(F.struct("aa_num", "codon", "coords"))).alias("x"))
     frames = lists.select("orf", "chrom", "strand", F.transform("x", lambda x: x["codon"]).alias("codons"), F.transform("x", lambda x: x["coords"]).alias("coords"))
-    edits = codons.filter("aa_num IN (5, 9, 14)").withColumn("alt_codons", F.array(F.when(F.col("aa") == "A", "GGT").otherwise("GCT"))).withColumn("key", F.concat_ws(":", "orf", "aa_num"))
-    place = edits.select("key", "chrom", "strand", F.array_min("coords").alias("left"), F.array_max("coords").alias("right"), F.floor((F.col("coords")[0] + F.col("coords")[2]) / 2).cast("int").alias("mid"))
-    near = guides.guides_for_edits(place, guides.screened(_guides(spark, d), 4).withColumn("pam_coord", F.col("pam_first")))
+    edits = donors.substitution_edits(_substitutions(spark, d), codons, _synonyms())
+    near = guides.guides_for_edits(edits.select("key", "chrom", "strand", "left", "right", "mid"), guides.screened(_guides(spark, d), 4).withColumn("pam_coord", F.col("pam_first")))
     near = near.withColumn("s", orfs.synonymous_changes(F.col("left"), F.col("right"), F.col("pam_coord"), F.col("pam_strand")))
     listed = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "guide", "pam", "pam_strand", F.col("pam_coord").cast("int").alias("pam_coord"), F.col("distance").cast("int").alias("distance"), "s.to_left", "s.to_right"))).alias("guides"))
-    rows = edits.select("key", "orf", "chrom", "strand", F.array("aa_num").alias("aa_nums"), "alt_codons", F.array_min("coords").alias("low")).join(frames, ["orf", "chrom", "strand"]).join(listed, "key", "left")
-    rows = guides.flanks(rows, genome, F.col("low") - 800, F.col("low") + 800)
+    rows = edits.join(frames, ["orf", "chrom", "strand"]).join(listed, "key", "left")
+    rows = guides.flanks(rows, genome, F.col("left") - 800, F.col("right") + 800)
     return donors.substitution_oligos(rows, _synonyms(), donors.Layout())
 
 
@@ -662,3 +684,30 @@ def synonym_choice(spark, d):
     table = orfs.codon_table(spark)
     lists = table.groupBy("aa").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "codon"))), lambda x: x["codon"]).alias("all"))
     return table.join(lists, "aa").select("codon", orfs.farthest(F.col("codon"), F.col("all")).alias("farthest"), orfs.nearest_other(F.col("codon"), F.col("all")).alias("nearest"))
+
+
+@query(_SCAN + " SELECT chrom, mstart, mstart + 6 AS mend, least(s, a) AS mismatches FROM m WHERE s <= 1", "genome")
+def motif_sites(spark, d):
+    out = motifs.motif_sites(p.genome(spark, d), "ACRTNG", 1)
+    return out.withColumns({c: F.col(c).cast("long") for c in ("mstart", "mend")})
+
+
+@query(_STAB.format("=") + _STAB.format("<>").replace(", s AS", ", z AS") + _PRIO.replace(", t AS", ", t AS", 1) + """ SELECT c.chrom, c.strand, c.pos, k.type AS annotation_type, coalesce(s.gene_name, z.gene_name, 'intergenic') AS gene_name, coalesce(s.gene_id, z.gene_id, 'intergenic') AS gene_id, CASE WHEN s.k IS NULL AND z.k IS NOT NULL THEN 'antisense' ELSE 'sense' END AS sense
+FROM t c JOIN k ON k.k = c.k LEFT JOIN (SELECT * FROM s WHERE k = 1) s ON s.chrom = c.chrom AND s.strand = c.strand AND s.pos = c.pos LEFT JOIN (SELECT * FROM z WHERE k = 1) z ON z.chrom = c.chrom AND z.strand = c.strand AND z.pos = c.pos""", "cov_r", "annotation", "atype")
+def type_and_gene(spark, d):
+    return annotate.type_and_gene(p.coverage(spark, d, "R").drop("reads"), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
+
+
+@query()
+def annotated_upregulated_clusters(spark, d):
+    return clusters.annotated_clusters(upregulated_clusters(spark, d), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
+
+
+@query()
+def annotated_site_clusters(spark, d):
+    return clusters.annotated_clusters(site_clusters(spark, d), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
+
+
+@query()
+def loop_clusters(spark, d):
+    return clusters.loop_clusters(p.coverage(spark, d, "R"), p.coverage(spark, d, "N"), p.types(spark, d), p.annotations(spark, d), PRIORITIES, 3, reach=50)
