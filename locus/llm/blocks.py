@@ -166,6 +166,18 @@ def exchange(asked: DataFrame, answer: Callable[[list[np.ndarray], pd.DataFrame]
     return asked.groupBy("owner").applyInPandas(answer, schema)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, sorted; a place where each stands; and the place of each key among them."""
+    order = np.argsort(keys)
+    flat = keys[order]
+    new = np.ones(len(flat), bool)
+    np.not_equal(flat[1:], flat[:-1], out=new[1:])
+    where = np.empty(len(flat), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return flat[new], order[new], where
+
+
 def merged(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of all parts, sorted, and the place of each part's keys among them."""
-    return np.unique(np.concatenate(parts), return_inverse=True)
+    keys, _, where = distinct(np.concatenate(parts))
+    return keys, where

@@ -1,7 +1,7 @@
 """Scores of a probabilistic suffix tree over words.
 
 A state is a context of up to ``depth`` words before a token (the start of a text counts as a word). A
-context that the training texts have often enough is kept as a state if the distribution of the tokens
+context that has a large enough share of the training tokens is kept as a state if the distribution of the tokens
 after it diverges from that of its longest shorter state: if the log-likelihood gained over all its
 occurrences is ``gain`` for each distinct token after it. A state's distribution is that of its parent
 with its own counts (Witten and Bell's weights); the root has every word once more than seen, and one
@@ -13,6 +13,7 @@ the contexts. What an exchange moves grows with the distinct pairs of each block
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, merged, mixed, paired, squeeze, unsqueeze, unsqueeze_sorted, word_hashes
+from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, paired, squeeze, unsqueeze, unsqueeze_sorted, word_hashes
 from locus.llm.common import shuffle_partitions, table, written, written_buckets
 
 END, START = mixed(np.array([0x656E64, 0x7374617274], np.uint64))
@@ -46,10 +47,10 @@ def _count_words(owners: int):
 
 
 def _count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Totals of an owner's pairs, and for which of them a block is the first to have asked."""
+    """Totals of an owner's pairs, and for which of them a block is the one that counts them for their context."""
     parts = [unsqueeze_sorted(k) for k in pdf["keys"]]
     flat = np.concatenate(parts)
-    keys, first, where = np.unique(flat, return_index=True, return_inverse=True)
+    keys, first, where = distinct(flat)
     n = np.bincount(where, weights=np.concatenate([unsqueeze(a, np.uint32) for a in pdf["a"]]), minlength=len(keys)).astype(np.uint32)
     mine = np.zeros(len(flat), np.uint8)
     mine[first] = 1
@@ -103,7 +104,7 @@ class _Texts:
     def begin_depth(self, least: int) -> None:
         """Where the contexts of this depth are frequent enough, and the distinct pairs there."""
         self.at = np.flatnonzero(self.seen >= least)
-        self.pairs, self.pair_first, self.pair = np.unique(paired(self.context[self.at], self.id[self.at]), return_index=True, return_inverse=True)
+        self.pairs, self.pair_first, self.pair = distinct(paired(self.context[self.at], self.id[self.at]))
 
     def ask_pairs(self, owners: int) -> pd.DataFrame:
         n = np.bincount(self.pair, weights=self.train[self.at], minlength=len(self.pairs)).astype(np.uint32)
@@ -115,7 +116,7 @@ class _Texts:
         now = np.zeros(len(self.token), np.int64)
         now[self.at] = self.pair_n[self.pair]
         self.now = now
-        self.contexts, first, self.ctx = np.unique(self.context[self.at], return_index=True, return_inverse=True)
+        self.contexts, first, self.ctx = distinct(self.context[self.at])
         self.ctx_n = self.seen[self.at][first]
         self.next_context, self.next_seen = self.context.copy(), np.zeros(len(self.token), np.int64)
         self.next_context[1:] = paired(self.context[:-1], self.id[:-1])
@@ -206,19 +207,21 @@ def _score(most: int, totals: np.ndarray, least: int, gain: float):
     return run
 
 
-def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 3, least: int = 4, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 2_000_000) -> DataFrame:
+def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 2, share: float = 2e-7, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row of docs,
     by a tree learnt from the rows where ``held_out`` is not true.
 
     Words are in lower case (A to Z alone); the end of a text is a token. A null or empty text has that
     token alone. Repeated rows are scored, and learnt from, each. A null id stays null. Other columns are
-    not looked at; an empty table gives an empty result. ``least``: how often training texts have a context
-    that may be a state.
+    not looked at; an empty table gives an empty result. ``share``: what part of all training tokens must
+    follow a context that may be a state (two at least), so that there are 1 / share of them at most at
+    each depth, whatever the input.
     """
     owners = shuffle_partitions(docs.sparkSession)
     own = written_buckets(blocks(docs, lower=True, held_out=held_out, id_col=id_col, text_col=text_col, most_words=most_words), "texts", "block", owners)
     words = written(own.mapInPandas(_first(owners), ASK).groupBy("owner").applyInPandas(_count_words(owners), ANSWER).withColumn("phase", F.lit(0)), "words")
     totals = sum((unsqueeze(r["x"], np.int64) for r in words.filter("block = -1").select("x").collect()), np.zeros(3, np.int64))
+    least = max(2, math.ceil(share * int(totals[0])))
     said = words.filter("block >= 0")
     for d in range(depth + 1):
         asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_asking(d, depth, owners, totals, least, gain), KINDED)
