@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,6 +45,13 @@ def drop_written(*frames: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the driver notice that exchanges before the last written table aren't needed any more, so that
+    executors delete their files now and not at some later garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -21,9 +21,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, paired, squeeze, unsqueeze, unsqueeze_sorted, word_hashes
-from locus.llm.common import shuffle_partitions, table, written, written_buckets
+from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, paired, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted, word_hashes
+from locus.llm.common import free_shuffles, shuffle_partitions, table, written, written_buckets
 
+#: Pairs are known by 56 bits: a byte less for each entry that an exchange moves.
+KEY_BITS = ~np.uint64(0xFF)
 END, START = mixed(np.array([0x656E64, 0x7374617274], np.uint64))
 
 
@@ -39,7 +41,8 @@ def _count_words(owners: int):
         keys, where = merged(parts)
         n = np.bincount(where, weights=np.concatenate([unsqueeze(a, np.uint32) for a in pdf["a"]]), minlength=len(keys)).astype(np.int64)
         own = int(pdf["owner"].iloc[0])
-        out = pd.DataFrame({"block": pdf["block"], "owner": own, "x": _split(n[where], parts), "y": _split((np.arange(len(keys), dtype=np.int64) * owners + own)[where], parts)})
+        places = np.split(where.astype(np.uint64), np.cumsum([len(p) for p in parts])[:-1])  # in the order of keys, and so sorted
+        out = pd.DataFrame({"block": pdf["block"], "owner": own, "x": _split(n[where], parts), "y": [squeeze_sorted(p) for p in places]})
         sums = np.array([n.sum(), (n > 0).sum(), n[keys == END].sum()], np.int64)
         return pd.concat([out, pd.DataFrame({"block": [-1], "owner": [own], "x": [squeeze(sums)], "y": [None]})])
 
@@ -69,8 +72,8 @@ def _sum_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
 class _Texts:
     """The tokens of a block, one after another, and what is known of them so far."""
 
-    def __init__(self, b: Block):
-        words = b.words
+    def __init__(self, b: Block, owners: int):
+        self.owners, words = owners, b.words
         n, docs = b.sizes + 1, len(b.sizes)
         self.number, self.stop = b.number, np.cumsum(n)
         self.doc = np.repeat(np.arange(docs), n)
@@ -85,15 +88,17 @@ class _Texts:
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
 
-    def ask_words(self, owners: int) -> pd.DataFrame:
+    def ask_words(self) -> pd.DataFrame:
         n = np.bincount(self.token[self.train], minlength=len(self.order)).astype(np.uint32)
-        return ask(self.number, self.hashes, owners, n[self.order])
+        return ask(self.number, self.hashes, self.owners, n[self.order])
 
     def hear_words(self, said: pd.DataFrame, totals: np.ndarray) -> None:
         self.n_tokens, self.n_words, n_texts = (int(x) for x in totals)
-        n, number = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.int64)
-        n[self.order], number[self.order] = answered(said, np.int64), answered(said, np.int64, "y")
-        self.n, self.id = n[self.token], mixed(number.astype(np.uint64))[self.token]
+        n, number = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
+        n[self.order] = answered(said, np.int64)
+        told = said.sort_values("owner")
+        number[self.order] = np.concatenate([unsqueeze_sorted(y) * np.uint64(self.owners) + np.uint64(o) for o, y in zip(told["owner"], told["y"], strict=True)])
+        self.n, self.id = n[self.token], mixed(number)[self.token]
         self.p = (self.n + 1) / (self.n_tokens + self.n_words + 1)
         self.base = np.log10(self.p)
         self.context = np.full(len(self.token), START)  # of 1 word, then of more
@@ -104,11 +109,11 @@ class _Texts:
     def begin_depth(self, least: int) -> None:
         """Where the contexts of this depth are frequent enough, and the distinct pairs there."""
         self.at = np.flatnonzero(self.seen >= least)
-        self.pairs, self.pair_first, self.pair = distinct(paired(self.context[self.at], self.id[self.at]))
+        self.pairs, self.pair_first, self.pair = distinct(paired(self.context[self.at], self.id[self.at]) & KEY_BITS)
 
-    def ask_pairs(self, owners: int) -> pd.DataFrame:
+    def ask_pairs(self) -> pd.DataFrame:
         n = np.bincount(self.pair, weights=self.train[self.at], minlength=len(self.pairs)).astype(np.uint32)
-        return ask(self.number, self.pairs, owners, n)
+        return ask(self.number, self.pairs, self.owners, n)
 
     def hear_pairs(self, said: pd.DataFrame) -> None:
         """How often pairs come; contexts of one word more follow from them."""
@@ -122,13 +127,13 @@ class _Texts:
         self.next_context[1:] = paired(self.context[:-1], self.id[:-1])
         self.next_seen[1:] = np.where(self.first[1:], 0, now[:-1])
 
-    def ask_contexts(self, owners: int) -> pd.DataFrame:
+    def ask_contexts(self) -> pd.DataFrame:
         of = self.ctx[self.pair_first]
         mine = (self.mine > 0) & (self.pair_n > 0)
         distinct = np.bincount(of, weights=mine, minlength=len(self.contexts)).astype(np.uint32)
         own = np.bincount(of, weights=mine * self.pair_n * np.log(np.maximum(self.pair_n, 1)), minlength=len(self.contexts))
         parent = np.bincount(self.ctx, weights=self.train[self.at] * np.log(self.p[self.at]), minlength=len(self.contexts))
-        return ask(self.number, self.contexts, owners, distinct, own - parent)
+        return ask(self.number, self.contexts, self.owners, distinct, own - parent)
 
     def hear_contexts(self, said: pd.DataFrame, gain: float) -> None:
         distinct, gained = answered(said, np.uint32).astype(np.float64), answered(said, np.float64, "y")
@@ -157,7 +162,7 @@ def _first(owners: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                yield _Texts(Block(row)).ask_words(owners)
+                yield _Texts(Block(row), owners).ask_words()
 
     return run
 
@@ -172,14 +177,14 @@ def _asking(depth: int, most: int, owners: int, totals: np.ndarray, least: int,
     def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = [ask(0, np.zeros(0, np.uint64), owners).assign(kind=0)]
         for row in left.itertuples(index=False):
-            t = _Texts(Block(row))
+            t = _Texts(Block(row), owners)
             t.replay(said, totals, 2 * depth - 1 if depth else 0, least, gain)
             if depth:
-                out.append(t.ask_contexts(owners).assign(kind=2 * depth))
+                out.append(t.ask_contexts().assign(kind=2 * depth))
                 t.next_depth()
             if depth < most:
                 t.begin_depth(least)
-                out.append(t.ask_pairs(owners).assign(kind=2 * depth + 1))
+                out.append(t.ask_pairs().assign(kind=2 * depth + 1))
         return pd.concat(out)[["kind", "owner", "block", "keys", "a", "b"]]
 
     return run
@@ -193,12 +198,12 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(most: int, totals: np.ndarray, least: int, gain: float):
+def _score(most: int, owners: int, totals: np.ndarray, least: int, gain: float):
     def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.itertuples(index=False):
             b = Block(row)
-            t = _Texts(b)
+            t = _Texts(b, owners)
             t.replay(said, totals, 2 * most, least, gain)
             by = lambda x: np.bincount(t.doc, weights=x, minlength=len(b.sizes))  # noqa: B023, E731
             out.append(pd.DataFrame({"doc_id": pd.array(b.doc_ids, dtype="Int64"), "held_out": b.held, "n_tokens": b.sizes + 1, "n_known": by(t.n > 0).astype(np.int64), "train_tokens": t.n_tokens, "base_score": by(t.base), "score": by(np.log10(t.p))}))
@@ -207,7 +212,7 @@ def _score(most: int, totals: np.ndarray, least: int, gain: float):
     return run
 
 
-def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 2, share: float = 2e-7, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 500_000) -> DataFrame:
+def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 2, share: float = 1e-6, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 700_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row of docs,
     by a tree learnt from the rows where ``held_out`` is not true.
 
@@ -217,17 +222,21 @@ def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 2, share: floa
     follow a context that may be a state (two at least), so that there are 1 / share of them at most at
     each depth, whatever the input.
     """
-    owners = shuffle_partitions(docs.sparkSession)
+    spark = docs.sparkSession
+    owners = shuffle_partitions(spark)
     own = written_buckets(blocks(docs, lower=True, held_out=held_out, id_col=id_col, text_col=text_col, most_words=most_words), "texts", "block", owners)
     words = written(own.mapInPandas(_first(owners), ASK).groupBy("owner").applyInPandas(_count_words(owners), ANSWER).withColumn("phase", F.lit(0)), "words")
     totals = sum((unsqueeze(r["x"], np.int64) for r in words.filter("block = -1").select("x").collect()), np.zeros(3, np.int64))
     least = max(2, math.ceil(share * int(totals[0])))
     said = words.filter("block >= 0")
+    free_shuffles(spark)
     for d in range(depth + 1):
         asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_asking(d, depth, owners, totals, least, gain), KINDED)
         heard = asked.groupBy("kind", "owner").applyInPandas(_answer, ANSWER + ", phase int")
         said = said.unionByName(written(heard, "heard"))
-    return own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_score(depth, totals, least, gain), SCORES)
+        del asked, heard
+        free_shuffles(spark)
+    return own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_score(depth, owners, totals, least, gain), SCORES)
 
 
 def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
