@@ -59,33 +59,51 @@ def _sums(pos: np.ndarray, values: np.ndarray):
 GROWN = "chrom string, strand string, seed int, cstart int, cend int, cluster_reads double, n_sites int, peak_pos int, peak_reads double, width int, n_distinct int, fold double, center_of_mass double"
 
 
-def _grow(flank: int, min_fold: float, floor: float, fraction: float, fold_floor: float):
+#: Islands that one call of a function takes; a call for each would cost more than its work.
+TOGETHER = 512
+
+
+def _each_island(sites: pd.DataFrame):
+    """The rows of each island, ascending."""
+    sites = sites.sort_values(["island", "pos"], kind="stable")
+    cuts = np.flatnonzero(np.diff(sites["island"].to_numpy())) + 1
+    columns = {c: np.split(sites[c].to_numpy(), cuts) for c in sites.columns if c not in ("chrom", "strand", "island", "__together")}
+    for i in range(len(cuts) + 1):
+        yield {c: x[i] for c, x in columns.items()}
+
+
+def _grown(q: tuple, r: tuple, up: tuple, flank: int, min_fold: float, floor: float, fraction: float, fold_floor: float):
+    """Clusters of one island; q, r and up are positions and reads."""
+    pos, reads = q
+    q_sum, r_sum, up_sum, up_mass = _sums(*q), _sums(*r), _sums(*up), _sums(up[0], up[0] * up[1])
+    last_up, seen = int(up[0].max()), np.zeros(len(pos), bool)
+    for seed in up[0]:
+        s = int(np.searchsorted(pos, seed))
+        if seen[s]:
+            continue
+        seen[s], lo, hi, end = True, s, s, int(seed) + 1
+
+        def keeps(a: int, b: int) -> bool:
+            return q_sum(a, b) / max(r_sum(a, b), floor) >= min_fold
+
+        while lo > 0 and pos[lo - 1] >= 1 and pos[lo] - pos[lo - 1] <= flank and not seen[lo - 1] and keeps(pos[lo - 1], seed):
+            lo -= 1
+            seen[lo] = True
+        while hi + 1 < len(pos) and pos[hi + 1] <= last_up and pos[hi + 1] - pos[hi] <= flank and not seen[hi + 1] and keeps(seed, pos[hi + 1]):
+            hi += 1
+            seen[hi], end = True, int(pos[hi])
+        start, own = int(pos[lo]), reads[lo : hi + 1]
+        most, at, width, distinct = signal_width(pos, reads, start, end, float(own.sum()), fraction)
+        mass = up_sum(start, end)
+        yield int(seed), start, end, float(own.sum()), hi - lo + 1, at, most, width, distinct, q_sum(start, end) / max(r_sum(start, end), fold_floor), up_mass(start, end) / mass if mass else 0.0
+
+
+def _grow(*how):
     def run(key: tuple, sites: pd.DataFrame) -> pd.DataFrame:
-        sites = sites.sort_values("pos")
-        q, r, up = sites[sites["q"].notna()], sites[sites["r"].notna()], sites[sites["up"]]
-        pos, reads = q["pos"].to_numpy(), q["q"].to_numpy()
-        q_sum, r_sum, up_sum = _sums(pos, reads), _sums(r["pos"].to_numpy(), r["r"].to_numpy()), _sums(up["pos"].to_numpy(), up["q"].to_numpy())
-        up_mass = _sums(up["pos"].to_numpy(), up["q"].to_numpy() * up["pos"].to_numpy())
-        last_up, seen, rows = int(up["pos"].max()), np.zeros(len(pos), bool), []
-        for seed in up["pos"].to_numpy():
-            s = int(np.searchsorted(pos, seed))
-            if seen[s]:
-                continue
-            seen[s], lo, hi, end = True, s, s, int(seed) + 1
-
-            def keeps(a: int, b: int) -> bool:
-                return q_sum(a, b) / max(r_sum(a, b), floor) >= min_fold
-
-            while lo > 0 and pos[lo - 1] >= 1 and pos[lo] - pos[lo - 1] <= flank and not seen[lo - 1] and keeps(pos[lo - 1], seed):
-                lo -= 1
-                seen[lo] = True
-            while hi + 1 < len(pos) and pos[hi + 1] <= last_up and pos[hi + 1] - pos[hi] <= flank and not seen[hi + 1] and keeps(seed, pos[hi + 1]):
-                hi += 1
-                seen[hi], end = True, int(pos[hi])
-            start, own = int(pos[lo]), reads[lo : hi + 1]
-            most, at, width, distinct = signal_width(pos, reads, start, end, float(own.sum()), fraction)
-            mass = up_sum(start, end)
-            rows.append((key[0], key[1], int(seed), start, end, float(own.sum()), hi - lo + 1, at, most, width, distinct, q_sum(start, end) / max(r_sum(start, end), fold_floor), up_mass(start, end) / mass if mass else 0.0))
+        rows = []
+        for x in _each_island(sites):
+            q, r = ~np.isnan(x["q"]), ~np.isnan(x["r"])
+            rows += [(key[0], key[1], *c) for c in _grown((x["pos"][q], x["q"][q]), (x["pos"][r], x["r"][r]), (x["pos"][x["up"]], x["q"][x["up"]]), *how)]
         return pd.DataFrame(rows, columns=[x.split()[0] for x in GROWN.split(", ")])
 
     return run
@@ -97,7 +115,7 @@ def upregulated_clusters(query: DataFrame, reference: DataFrame, upregulated: Da
     of mass of the upregulated positions and the cluster's fold.
 
     Growth can't cross a larger gap, so that an island of query is all that one cluster can need: the fold
-    runs island by island, not chromosome by chromosome.
+    runs over some hundred islands at once, not over a chromosome.
     """
     q = numbered_islands(query.select(*SITE, "reads"), flank)
     hot = q.join(upregulated.select(*SITE, F.lit(True).alias("up")), list(SITE), "left")
@@ -105,26 +123,32 @@ def upregulated_clusters(query: DataFrame, reference: DataFrame, upregulated: Da
     spans = sites.groupBy(*KEYS, "island").agg(F.min("pos").alias("__first"), F.max("pos").alias("__last"), F.max("up").alias("any")).filter("any").drop("any")
     ref = stab(reference.select(*SITE, "reads"), "pos", spans, "__first", "__last").select(*SITE, "island", F.lit(None).cast("double").alias("q"), F.col("reads").alias("r"), F.lit(False).alias("up"))
     both = sites.join(spans.select(*KEYS, "island"), [*KEYS, "island"], "left_semi").unionByName(ref)
-    return both.groupBy(*KEYS, "island").applyInPandas(_grow(flank, min_fold, floor, fraction, fold_floor), GROWN)
+    return both.groupBy(*KEYS, _together()).applyInPandas(_grow(flank, min_fold, floor, fraction, fold_floor), GROWN)
 
 
 PLAIN = "chrom string, strand string, seed int, cstart int, cend int, cluster_reads double, n_sites int, peak_pos int, peak_reads double, width int, n_distinct int"
 
 
+def _together():
+    return F.floor(F.col("island") / TOGETHER).alias("__together")
+
+
 def _plain(fraction: float):
     def run(key: tuple, sites: pd.DataFrame) -> pd.DataFrame:
-        sites = sites.sort_values("pos")
-        pos, reads = sites["pos"].to_numpy(), sites["reads"].to_numpy()
-        start, end = int(pos[0]), int(pos[0]) + 1 if len(pos) == 1 else int(pos[-1])
-        most, at, width, distinct = signal_width(pos, reads, start, end, float(reads.sum()), fraction)
-        return pd.DataFrame([(key[0], key[1], start, start, end, float(reads.sum()), len(pos), at, most, width, distinct)], columns=[x.split()[0] for x in PLAIN.split(", ")])
+        rows = []
+        for x in _each_island(sites):
+            pos, reads = x["pos"], x["reads"]
+            start, end = int(pos[0]), int(pos[0]) + 1 if len(pos) == 1 else int(pos[-1])
+            most, at, width, distinct = signal_width(pos, reads, start, end, float(reads.sum()), fraction)
+            rows.append((key[0], key[1], start, start, end, float(reads.sum()), len(pos), at, most, width, distinct))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in PLAIN.split(", ")])
 
     return run
 
 
 def site_clusters(cov: DataFrame, flank: int, fraction: float = 0.8) -> DataFrame:
     """Islands with their width by signal."""
-    return numbered_islands(cov.select(*SITE, "reads"), flank).groupBy(*KEYS, "island").applyInPandas(_plain(fraction), PLAIN)
+    return numbered_islands(cov.select(*SITE, "reads"), flank).groupBy(*KEYS, _together()).applyInPandas(_plain(fraction), PLAIN)
 
 
 def with_second_fold(clusters: DataFrame, query: DataFrame, reference: DataFrame, reach: int = 20, floor: float = 0.1) -> DataFrame:
