@@ -13,18 +13,18 @@ from locus.operators.coverage import SITE
 from locus.operators.intervals import KEYS, stab
 
 
-def placed(features: DataFrame, cov: DataFrame, key: str, upstream: int, body: int, downstream: int, stranded: bool = True, exclude: DataFrame | None = None) -> DataFrame:
+def placed(features: DataFrame, cov: DataFrame, key: str, upstream: int, body: int, downstream: int, stranded: bool = True, exclude: DataFrame | None = None, by=()) -> DataFrame:
     """key, side (sense, antisense), idx (place in the profile, from 0) and v, of each feature, for covered
-    positions. In the body a later position of the same bin replaces an earlier one, zeros too."""
+    positions, with the columns ``by`` of cov. In the body a later position of the same bin replaces an earlier one, zeros too."""
     plus = F.col("strand") == "+"
     spans = features.select(key, *KEYS, "fstart", "fend").withColumns(
         {"__first": F.col("fstart") - F.when(plus, upstream).otherwise(downstream), "__last": F.col("fend") + F.when(plus, downstream).otherwise(upstream) - 1, "__own": F.col("strand")}
     )
     if stranded:
         spans = spans.withColumn("strand", F.explode(F.array("strand", other_strand(F.col("strand")))))
-        hits = stab(cov.select(*SITE, "reads"), "pos", spans, "__first", "__last")
+        hits = stab(cov.select(*by, *SITE, "reads"), "pos", spans, "__first", "__last")
     else:
-        hits = stab(cov.select("chrom", "pos", "reads"), "pos", spans.drop("strand"), "__first", "__last", keys=("chrom",)).withColumn("strand", F.col("__own"))
+        hits = stab(cov.select(*by, "chrom", "pos", "reads"), "pos", spans.drop("strand"), "__first", "__last", keys=("chrom",)).withColumn("strand", F.col("__own"))
     if exclude is not None:
         hits = hits.join(exclude.select(key, "pos").distinct().withColumn("__out", F.lit(True)), [key, "pos"], "left")
         hits = hits.filter(F.col("__out").isNull() | (F.col("strand") != F.col("__own")))
@@ -40,7 +40,7 @@ def placed(features: DataFrame, cov: DataFrame, key: str, upstream: int, body: i
     # the last position of a body's bin: the next one would be in the next bin, or there is none
     after = F.least(((F.col("__i") + 1) * F.lit(body).cast("double") / F.col("__n")).cast("int"), F.lit(body - 1))
     last = ~F.col("__in") | (F.col("__i") + 1 >= F.col("__n")) | (after != bin_) if body else F.lit(True)
-    return out.filter(last).select(key, "side", "idx", F.col("reads").alias("v"))
+    return out.filter(last).select(*by, key, "side", "idx", F.col("reads").alias("v"))
 
 
 def profile(places: DataFrame, length: int, by=()) -> DataFrame:
@@ -80,11 +80,7 @@ def metagene_samples(features: DataFrame, cov: DataFrame, key: str, upstream: in
     """sample, side, idx and v: profiles of several samples (cov has sample) on one scale. A feature counts
     if its sense reads over all samples are above min_reads, and is scaled by their sum; in the end the
     greatest value of all sense profiles, and that of all antisense ones, becomes ``scaling``."""
-    samples = [r["sample"] for r in cov.select("sample").distinct().orderBy("sample").collect()]
-    parts = [placed(features, cov.filter(F.col("sample") == s), key, upstream, body, downstream).withColumn("sample", F.lit(s)) for s in samples]
-    own = parts[0]
-    for p in parts[1:]:
-        own = own.unionByName(p)
+    own = placed(features, cov, key, upstream, body, downstream, by=["sample"])
     totals = own.filter("side = 'sense'").groupBy(key).agg(F.sum("v").alias("total")).filter(F.col("total") > min_reads)
     scaled = own.join(totals, key).withColumn("v", F.col("v") * scaling / F.col("total"))
     out = profile(scaled, upstream + body + downstream, ["sample"])

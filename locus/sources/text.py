@@ -1,7 +1,6 @@
 """Readers of genomic text files, by Spark's own readers, so that any store works.
 
-``ord`` keeps the order of lines where the last (or first) of several counts: files are read as wholes where
-records span lines, and lines are numbered within their file; several files are in the order of their names.
+``ord`` keeps the order of lines where the last (or first) of several counts, or where records span lines.
 """
 
 from __future__ import annotations
@@ -13,12 +12,16 @@ from locus.functions.sequence import NUMERALS, mito, numeral, reverse_complement
 
 
 def lines(spark: SparkSession, path) -> DataFrame:
-    """line and ord of files whose order matters: each file is one task's, its lines numbered."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    rows = files.select("file", F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("n", "line"))
-    rank = F.dense_rank().over(Window.orderBy("file")) - 1
-    names = files.select("file").distinct().withColumn("__f", rank)
-    return rows.join(F.broadcast(names), "file").select("line", (F.col("__f") * F.lit(1 << 40) + F.col("n")).alias("ord")).filter(F.length("line") > 0)
+    """line and ord of files whose order matters. Files are split over tasks; a line's number is its place in
+    its split and the number of lines in the splits before, which are counted first. Files follow each other
+    in the order of their names, a multiple of 2^40 apart. Empty lines go, but count."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"))
+    splits = rows.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1))
+    files = splits.select("__file").distinct().withColumn("__f", F.dense_rank().over(Window.orderBy("__file")) - 1)
+    places = splits.withColumn("__before", F.coalesce(before, F.lit(0))).join(files, "__file")
+    ord_ = F.col("__f") * F.lit(1 << 40) + F.col("__before") + F.col("__id") - F.col("__first")
+    return rows.join(places, ["__file", "__start"]).select(F.rtrim(F.col("value"), F.lit("\r")).alias("line"), ord_.alias("ord")).filter(F.length("line") > 0)
 
 
 def _fields(rows: DataFrame, pattern: str = "\t") -> DataFrame:

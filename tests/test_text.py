@@ -18,6 +18,24 @@ def read(path):
     return "".join(open(p).read() for p in sorted(glob.glob(f"{path}/part-*")))
 
 
+def test_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    for name, n in (("a.txt", 700), ("b.txt", 3)):
+        put(tmp_path, name, "".join(f"{name} {i} {'x' * (i % 50)}\r\n" + "\n" * (i % 3 == 0) for i in range(n)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = text.lines(spark, [str(tmp_path / "b.txt"), str(tmp_path / "a.txt")]).orderBy("ord").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    want = []
+    for f, (name, n) in enumerate((("a.txt", 700), ("b.txt", 3))):
+        k = f << 40
+        for i in range(n):
+            want.append((f"{name} {i} {'x' * (i % 50)}", k))
+            k += 1 + (i % 3 == 0)
+    assert [tuple(r) for r in got] == want
+
+
 def test_genomes(spark, tmp_path):
     p = put(tmp_path, "g.fa", ">chrI\nacgt\nAC\n>chrII\nGG\n>chrMito\nTT\n")
     assert rows(text.genome(spark, p), "chrom", "seq") == [("chrI", "ACGTAC"), ("chrII", "GG"), ("chrMito", "TT")]
