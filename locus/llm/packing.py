@@ -29,14 +29,18 @@ from locus.llm.common import table, whole, written
 
 
 class _Vocabulary(dict):
-    """Words to the places of their ids; words not met before are encoded a batch at a time."""
+    """Words to the places of their ids. Words not met before are encoded a batch at a time; those that an
+    older vocabulary has are taken from it, so that what is frequent outlives it."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, older: _Vocabulary | None = None):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = older.tokenizer if older is not None else Tokenizer.from_file(path)
+        self.older = older
+        if older is not None:
+            older.older = None
         self.new: list[bytes] = []
         self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
@@ -46,10 +50,27 @@ class _Vocabulary(dict):
         return at
 
     def settle(self) -> None:
-        """Encode the new words, many as one text: a call for each costs more than the words do. Which
-        word an id belongs to follows from where in that text it stands."""
-        words, self.new = [w.decode() for w in self.new], []
-        lengths, ids = np.zeros(len(words), np.int64), [self.ids]
+        """Find the ids of the new words."""
+        words, self.new = self.new, []
+        known = np.fromiter((self.older.get(w, -1) for w in words), np.int64, len(words)) if self.older is not None else np.full(len(words), -1)
+        lengths, unknown = np.zeros(len(words), np.int64), np.flatnonzero(known < 0)
+        old = known[known >= 0]
+        lengths[unknown], encoded_ids = self._encode([words[i].decode() for i in unknown.tolist()])
+        if len(old):
+            n = self.older.starts[old + 1] - self.older.starts[old]
+            lengths[known >= 0] = n
+        starts = self.starts[-1] + np.cumsum(lengths)
+        ids = np.empty(int(starts[-1] - self.starts[-1]), np.uint32)
+        mine = np.repeat(known < 0, lengths)
+        ids[mine] = encoded_ids
+        if len(old):
+            ids[~mine] = _gathered(self.older.ids, self.older.starts[old], n)
+        self.starts, self.ids = np.concatenate([self.starts, starts]), np.concatenate([self.ids, ids])
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids. Many words are encoded as one text, as a call for each
+        costs more than the words do; which word an id belongs to follows from where in the text it stands."""
+        lengths, ids = np.zeros(len(words), np.int64), [np.zeros(0, np.uint32)]
         for at in range(0, len(words), 256):
             part = words[at : at + 256]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -57,17 +78,23 @@ class _Vocabulary(dict):
             stands = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]
             lengths[at : at + 256] = np.bincount(np.searchsorted(begins, stands, "right") - 1, minlength=len(part))
             ids.append(np.asarray(found.ids, np.uint32))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate(ids)
+        return lengths, np.concatenate(ids)
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at starts, one after another."""
+    stop = np.cumsum(lengths)
+    return flat[np.repeat(starts - (stop - lengths), lengths) + np.arange(int(stop[-1]) if len(stop) else 0)]
 
 
 _KEPT: dict[str, _Vocabulary] = {}
 
 
 def vocabulary(path: str, most_words: int) -> _Vocabulary:
-    """The words that this Python process has met, begun anew beyond ``most_words``."""
+    """The words that this Python process has met; beyond ``most_words`` a new one begins, with this one to
+    take from."""
     if path not in _KEPT or len(_KEPT[path]) > most_words:
-        _KEPT[path] = _Vocabulary(path)
+        _KEPT[path] = _Vocabulary(path, _KEPT.get(path))
     return _KEPT[path]
 
 
@@ -78,20 +105,15 @@ def encoded(texts: list[str], words: _Vocabulary, end: int) -> Iterator[np.ndarr
     if words.new:
         words.settle()
     for at in found:
-        n = words.starts[at + 1] - words.starts[at]
-        stop = np.cumsum(n)
-        total = int(stop[-1]) if len(at) else 0
-        ids = np.empty(total + 1, np.uint32)
-        ids[:total] = words.ids[np.repeat(words.starts[at] - (stop - n), n) + np.arange(total)]
-        ids[total] = end
-        yield ids
+        begin = words.starts[at]
+        yield np.append(_gathered(words.ids, begin, words.starts[at + 1] - begin), np.uint32(end))
 
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("uid", pa.int64())])
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 
 
-def _pieces(path: str, size: int, end: int, most_words: int = 1_000_000):
+def _pieces(path: str, size: int, end: int, most_words: int = 300_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -156,6 +178,20 @@ def _cost(lengths: np.ndarray, solution: np.ndarray, size: int) -> tuple[int, fl
     return int((fill > 0).sum()), -float((fill**2).sum())
 
 
+def least_bins(lengths: np.ndarray, size: int) -> int:
+    """As few bins as any packing needs (Martello and Toth's second bound): for each k, pieces longer than
+    size - k have bins of their own, those longer than half a bin too, and pieces from k to half a bin go
+    into what these leave free or into more."""
+    x = np.sort(lengths.astype(np.int64))
+    sums = np.concatenate([[0], np.cumsum(x)])
+    ks = np.unique(np.concatenate([[0], x[x <= size // 2]]))
+    half = np.searchsorted(x, size // 2, "right")
+    low, high = np.searchsorted(x, ks, "left"), np.maximum(half, np.searchsorted(x, size - ks, "right"))
+    free = (high - half) * size - (sums[high] - sums[half])
+    more = np.maximum(0, -(-(sums[half] - sums[low] - free) // size))
+    return int((len(x) - half + more).max())
+
+
 def _crossover(rng, lengths: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     """b, where -1 is in no bin, with some well-filled bins of a."""
     fill = np.bincount(a, weights=lengths) / size
@@ -194,7 +230,7 @@ def _mutate(rng, lengths: np.ndarray, a: np.ndarray, size: int) -> np.ndarray:
 
 def evolve(lengths: np.ndarray, population: list[np.ndarray], rng, size: int, generations: int, most: int) -> list[np.ndarray]:
     """The best ``most`` solutions after some generations; the first is the best."""
-    least = math.ceil(int(lengths.sum()) / size)
+    least = least_bins(lengths, size)
     scored = sorted(((_cost(lengths, s, size), k, s) for k, s in enumerate(population)), key=lambda x: x[:2])
     for _ in range(generations):
         if scored[0][0][0] <= least:
@@ -221,7 +257,7 @@ def _island(size: int, generations: int, most: int, seed: int, round_: int):
                     while len(orders) < most:  # nearly descending, each a little different
                         orders.append(np.argsort(-lengths * rng.uniform(0.8, 1.25, len(lengths)), kind="stable"))
                     population = []
-                    least = math.ceil(int(lengths.sum()) / size)
+                    least = least_bins(lengths, size)
                     for o in orders:
                         population.append(best_fit(lengths, o, size))
                         if int(population[-1].max()) + 1 <= least:

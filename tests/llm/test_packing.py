@@ -98,7 +98,10 @@ def test_search_finds_what_best_fit_misses():
     assert gained > 0
 
 
-def test_vocabulary_begins_anew():
-    a = packing.vocabulary(default_tokenizer(), 10)
-    list(encoded([" ".join(f"x{i}" for i in range(20))], a, 1))
-    assert packing.vocabulary(default_tokenizer(), 10) is not a
+def test_a_new_vocabulary_takes_from_the_one_before(tokenizer):
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        texts = [" ".join(f"x{rng.integers(60)}y's" for _ in range(12)) for _ in range(5)]
+        words = packing.vocabulary(default_tokenizer(), 25)
+        assert [x.tolist() for x in encoded(texts, words, 1)] == [[*e.ids, 1] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert words.older is not None and words.older.older is None and len(words) < 120
