@@ -3,7 +3,8 @@
 A round makes each vertex's neighbours point at the smallest of them: first the larger ones (large star),
 then the smaller ones (small star). Edges only ever get shorter to the smallest vertex, rounds grow with
 the logarithm of the longest path, and every round is written to the shared folder. A star's rows are
-aggregated before they move, so that a vertex with very many neighbours isn't one task's.
+aggregated before they move, and what is joined to them is a written table, so that both sides of a join
+come from a shuffle and Spark can split the rows of a vertex with very many neighbours over tasks.
 """
 
 from __future__ import annotations
@@ -26,14 +27,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         # large star: each neighbour greater than a vertex points at the least of the vertex and its neighbours
         both = _both(now)
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "large")
         # small star: a vertex and its lesser neighbours point at the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
+        lesser = written(large.groupBy("u").agg(F.min("v").alias("m")), "lesser")
+        small = large.join(lesser, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
         last, now = now, written(small, "edges")
         size = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v") % F.lit(1 << 40)), F.lit(0))).first()
-        drop_written(last)
+        drop_written(last, least, large, lesser)
         if size == before:
             break
         before = size
