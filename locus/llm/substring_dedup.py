@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.blocks import ANSWER, ASK, BLOCK, Block, ask, answered, blocks, merged, mixed, paired, squeeze, unsqueeze, unsqueeze_sorted, word_hashes
-from locus.llm.common import shuffle_partitions, table, written
+from locus.llm.common import free_shuffles, shuffle_partitions, table, written, written_buckets
 
 SHORT, ROUTE_BITS = 10, 40
 
@@ -185,9 +185,10 @@ def substring_dedup(docs: DataFrame, window: int = 35, short: int = SHORT, group
     """
     owners = shuffle_partitions(docs.sparkSession)
     short = min(short, window)
-    own = written(blocks(docs, most_words=most_words, id_col=id_col, text_col=text_col), "blocks")
+    own = written_buckets(blocks(docs, most_words=most_words, id_col=id_col, text_col=text_col), "blocks", "block", owners)
     first = own.mapInPandas(_ask_prefixes(window, short, owners), ASK).groupBy("owner").applyInPandas(_count_prefixes(group_suffixes), ANSWER)
     first = written(first, "prefixes")
+    free_shuffles(docs.sparkSession)
     second = own.groupBy("block").cogroup(first.groupBy("block")).applyInPandas(_ask_windows(window, short, owners), ASK)
     second = written(second.groupBy("owner").applyInPandas(_subtrees, ANSWER), "windows")
     said = first.withColumn("phase", F.lit(1)).unionByName(second.withColumn("phase", F.lit(2)))
