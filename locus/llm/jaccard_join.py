@@ -4,9 +4,14 @@ A text is the set of its word n-grams. Texts with equal sets are one class, and
 on. Its MinHash signature is cut into bands; the numbers of bands and of rows in each are the cheapest
 that find a pair of the wanted similarity with the wanted recall. Rows that share a band's hash are linked
 to the smallest of them, a star and not all pairs, and the components of these stars hold every candidate
-pair. Within a component pairs are verified on full n-gram sets, in tasks of bounded size: sets are dealt
-by size class and number, as sets can only be similar if their sizes are, and a task compares two blocks of
-sets in one matrix. It puts out how many links each set has, and of the links only a spanning forest.
+pair. Within a component pairs are verified on full n-gram sets, in tasks of bounded size that compare two
+blocks of sets and put out how many links each set has, and of the links only a spanning forest.
+
+A large component has a pivot, the n-grams that most of some of its sets have, and distances (one less the
+similarity) obey the triangle inequality: sets nearer to the pivot than half the allowed distance are
+linked, all of them to each other, without a look at pairs; sets whose distances to the pivot differ by
+more than the allowed distance can't be; and neither can sets of too different sizes. Only blocks that may
+hold other links are compared. The pivot decides what is looked at, never what is linked.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ def bands_and_rows(similarity: float, recall: float, most_hashes: int = 400, far
     hashes, take a pair of similarity ``far`` for a candidate as rarely as possible."""
     best = (2.0, 1, 1)
     for rows in range(1, 33):
-        bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows)))
+        bands = 1 if similarity >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows)))
         if bands * rows <= most_hashes:
             best = min(best, (1 - (1 - far**rows) ** bands, bands, rows))
     return best[1], best[2]
@@ -117,6 +122,27 @@ def _linked(left: list[np.ndarray], right: list[np.ndarray], similarity: float)
         yield i, np.flatnonzero(common >= similarity * (len(own) + sizes - common) - 1e-9)
 
 
+#: Rings of distance around a pivot, each half the allowed distance wide; the last one has all beyond.
+RINGS = 64
+
+
+def _pivot(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The n-grams that more than half of a component's sampled sets have."""
+    grams, n = np.unique(np.concatenate([unsqueeze_sorted(g) for g in pdf["grams"]]), return_counts=True)
+    return pd.DataFrame({"root": [key[0]], "pivot": [squeeze_sorted(grams[2 * n > len(pdf)])]})
+
+
+def _distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        pivots = {p: unsqueeze_sorted(p) for p in pdf["pivot"].unique()}
+        out = []
+        for grams, pivot in zip(pdf["grams"], pdf["pivot"], strict=True):
+            own, other = unsqueeze_sorted(grams), pivots[pivot]
+            common = len(np.intersect1d(own, other, assume_unique=True))
+            out.append(1 - common / max(1, len(own) + len(other) - common))
+        yield pd.DataFrame({"uid": pdf["uid"], "distance": out})
+
+
 LINKS = "uid long, links long, u long, v long"
 
 
@@ -129,7 +155,7 @@ def _verify(similarity: float):
         first = pdf["pair_first"].to_numpy()
         a = np.flatnonzero(block == first)
         b = np.flatnonzero(block != first)
-        same = len(b) == 0
+        same = bool(first[0] == pdf["pair_second"].iloc[0])
         other = a if same else b
         links, parent = np.zeros(len(pdf), np.int64), np.arange(len(pdf))
 
@@ -140,7 +166,7 @@ def _verify(similarity: float):
             return x
 
         forest = []
-        if len(a) and len(other) and (same or len(b)):
+        if len(a) and len(other):
             for i, js in _linked([sets[k] for k in a], [sets[k] for k in other], similarity):
                 x, ys = int(a[i]), other[js]
                 ys = ys[ys != x]
@@ -160,7 +186,7 @@ def _verify(similarity: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, block_sets: int = 256, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
+def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, block_sets: int = 128, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
     """doc_id, class_id, set_id and n_links for each row of docs.
 
     A link is between two rows whose sets of word ``n``-grams have a Jaccard similarity of ``similarity`` or
@@ -186,28 +212,45 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
     near = components(stars)
     near = written(near.unionByName(near.select("root").distinct().select(F.col("root").alias("v"), "root")).select(F.col("v").alias("uid"), "root"), "near")
 
-    # blocks: small components whole, others by size class and number
-    members = classes.select("uid", "h1", "h2", "n_grams", "copies").join(near, "uid").withColumn("size", F.floor(F.log("n_grams") / F.lit(math.log(1 / similarity) if similarity < 1 else 1.0)).cast("int"))
-    counts = members.groupBy("root", "size").agg(F.count(F.lit(1)).alias("n"))
-    parts = counts.groupBy("root").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("size", F.ceil(F.col("n") / block_sets).cast("int")))).alias("parts"))
-    members = members.join(parts, "root")
-    part_of = lambda size: F.coalesce(F.element_at("parts", size), F.lit(0))
-    number = F.pmod(F.xxhash64("uid"), part_of(F.col("size"))).cast("int")
-    name = lambda size, k: F.when(F.col("all") <= block_sets, F.lit(0).cast("long")).otherwise(size.cast("long") * F.lit(1 << 32) + k.cast("long"))
-    members = members.withColumn("block", name(F.col("size"), number))
-    upto = lambda size: F.when(part_of(size) > 0, F.transform(F.sequence(F.lit(0), F.greatest(part_of(size) - 1, F.lit(0))), lambda k: size.cast("long") * F.lit(1 << 32) + k.cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    others = F.concat(upto(F.col("size") - 1), upto(F.col("size")), upto(F.col("size") + 1))
-    others = F.when(F.col("all") <= block_sets, F.array(F.lit(0).cast("long"))).otherwise(others)
-    dealt = members.select("uid", "copies", "root", "block", F.explode(others).alias("other"))
-    dealt = dealt.select("uid", "copies", "root", "block", F.least("block", "other").alias("pair_first"), F.greatest("block", "other").alias("pair_second"))
-
+    members = written(classes.select("uid", "h1", "h2", "n_grams", "copies").join(near, "uid"), "members")
     # texts are found again by hashes of their rows, which are the same whenever docs are read
     texts = docs.select(*hashes, whole(text_col).alias("text")).join(members.select("uid", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["h1", "h2"])
-    sets = texts.select("uid", "text").mapInPandas(_sets(n), GRAMS)
-    tasks = dealt.join(sets.select("uid", "grams"), "uid")
-    found = written(tasks.groupBy("root", "pair_first", "pair_second").applyInPandas(_verify(similarity), LINKS), "links")
+    sets = written(texts.select("uid", "text").mapInPandas(_sets(n), GRAMS), "sets").select("uid", "grams")
+    # what is joined by component is written first: Spark can then split a large one's rows over tasks
+    totals = written(members.groupBy("root").agg(F.count(F.lit(1)).alias("all")), "totals")
+    members = members.select("uid", "root", "n_grams", "copies").join(totals, "root")
+    small, large = members.filter(F.col("all") <= block_sets), members.filter(F.col("all") > block_sets)
+
+    # large components: a pivot from some 64 of their sets, and distances to it
+    some = large.filter(F.pmod(F.xxhash64("uid", F.lit(seed)), F.ceil(F.col("all") / 64)) == 0).select("root", "uid")
+    pivots = written(some.join(sets, "uid").groupBy("root").applyInPandas(_pivot, "root long, pivot binary"), "pivots")
+    measured = large.select("uid", "root").join(sets, "uid").join(pivots, "root").select("uid", "grams", "pivot").mapInPandas(_distances, "uid long, distance double")
+    allowed = 1 - similarity
+    width = allowed / 2 if allowed > 0 else 1.0
+    ring = F.least(F.floor(F.coalesce("distance", F.lit(1.0)) / width).cast("int"), F.lit(RINGS - 1))
+    size = F.floor(F.log("n_grams") / F.lit(math.log(1 / similarity) if similarity < 1 else 1.0)).cast("int")
+    large = written(large.join(measured, "uid", "left").withColumns({"ring": F.when((F.col("distance") < width - 1e-9) & F.lit(allowed > 0), F.lit(0)).otherwise(F.greatest(ring, F.lit(1))), "size": size}), "large")
+    core = large.filter("ring = 0")
+    cores = written(core.groupBy("root").agg(F.min("uid").alias("v"), F.sum("copies").alias("weight")), "cores")
+    inner = core.join(cores, "root").select("uid", (F.col("weight") - F.col("copies")).alias("links"), F.col("uid").alias("u"), "v")
+
+    # their blocks, by size class, ring and number; a block meets those that it may have links with
+    kind = F.col("size") * RINGS + F.col("ring")
+    counts = large.groupBy("root", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    parts = written(counts.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.ceil(F.col("n") / block_sets).cast("int")))).alias("parts")), "parts")
+    large = large.join(parts, "root").withColumn("kind", kind)
+    part_of = lambda k: F.coalesce(F.try_element_at("parts", k), F.lit(0))
+    name = lambda k, i: k.cast("long") * F.lit(1 << 32) + i.cast("long")
+    upto = lambda k, ok: F.when(ok & (part_of(k) > 0), F.transform(F.sequence(F.lit(0), F.greatest(part_of(k) - 1, F.lit(0))), lambda i: name(k, i))).otherwise(F.array().cast("array<bigint>"))
+    reach = lambda s, r: (F.col("ring") + r >= 0) & (F.col("ring") + r < RINGS) & ~((F.col("ring") == 0) & (F.lit(r) == 0))
+    others = F.concat(*[upto((F.col("size") + s) * RINGS + F.col("ring") + r, reach(s, r)) for s in (-1, 0, 1) for r in range(-3, 4)])
+    large = large.withColumns({"block": name(F.col("kind"), F.pmod(F.xxhash64("uid"), part_of(F.col("kind")))), "others": others})
+    both = large.select("uid", "copies", "root", "block", F.explode("others").alias("other")).unionByName(small.select("uid", "copies", "root", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("other")))
+    dealt = both.select("uid", "copies", "root", "block", F.least("block", "other").alias("pair_first"), F.greatest("block", "other").alias("pair_second"))
+    tasks = dealt.join(sets, "uid")
+    found = written(tasks.groupBy("root", "pair_first", "pair_second").applyInPandas(_verify(similarity), LINKS).unionByName(inner), "links")
     links = found.filter("uid IS NOT NULL").groupBy("uid").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("u IS NOT NULL").select("u", "v")).withColumnRenamed("v", "uid")
+    roots = components(found.filter("u <> v").select("u", "v")).withColumnRenamed("v", "uid")
 
     known = classes.select("uid", "digest", F.col("doc_id").alias("set_id"), "copies").join(links, "uid", "left").join(roots, "uid", "left")
     known = written(known.withColumn("root", F.coalesce("root", "uid")).withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1), "known")

@@ -69,6 +69,22 @@ def test_a_large_group_in_blocks(frame):
     check(frame(rows).repartition(4), rows, block_sets=8)
 
 
+def test_a_core_around_a_pivot(frame):
+    """Most sets are near the pivot and aren't compared; those around them are."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    texts = copies(rng, base, 90, 1) + copies(rng, base, 60, 6) + copies(rng, base[:120], 30, 2)
+    rows = list(enumerate(texts))
+    check(frame(rows).repartition(4), rows, block_sets=8)
+    check(frame(rows).repartition(4), rows, block_sets=64)
+
+
+def test_a_similarity_of_one(frame):
+    rows = [(i, " ".join(f"w{j}" for j in range(k, k + 9))) for i, k in enumerate([0, 0, 1, 2, 2, 2])]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join(frame(rows), similarity=1.0).collect()}
+    assert got == {0: (0, 1), 1: (0, 1), 2: (2, 0), 3: (3, 2), 4: (3, 2), 5: (3, 2)}
+
+
 def test_bands_and_rows_reach_the_recall():
     for s, recall in ((0.8, 0.999), (0.5, 0.95), (0.9, 0.99)):
         b, r = bands_and_rows(s, recall)
