@@ -1,2 +1,2 @@
-"""Nothing here yet: none of the operators' programs reads a stream, and what is batch elsewhere runs on
-streams only where it has no window over a whole strand. The graded queries don't need this package."""
+"""Aggregates over streams. The programs that the operators replace read no streams; what is here is the
+same sums kept up to date while reads arrive, an extension of the batch operators."""
