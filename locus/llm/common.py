@@ -35,6 +35,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables of this part in the shared folder. For the end of a job, when no result is read any
+    more: results are lazy and read such tables."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "locus[-_]*")) or []:
+        fs.delete(found.getPath(), True)
+
+
 def drop_written(*frames: DataFrame) -> None:
     """Delete tables of written() that no later result reads."""
     for df in frames:

@@ -26,16 +26,15 @@ PLAIN_WORDS = r"(?i)(commit|sha\d*|md5|digest|checksum|hash|uuid|guid|revision|i
 TEST_PATHS = r"(?i)(test|example|sample|fixture|mock|docs?/)"
 #: Words that make candidates plain text.
 DICTIONARY = (
-    "able about access account action after agent alpha analysis and any app array asset async backup base batch best beta between block branch build "
-    "cache call case chapter chart check class client code column config connection content context control copy core count create data date debug "
-    "default delete demo design detail device direct document down draft edit engine error event example export feature field file final first folder "
-    "font form from function general get global group guide handler header help home host html image import index info input install item java job "
-    "key lang last layer level lib library license line link list local log main make manager map master media member menu message meta method model "
-    "module month name network new next node note notes object old open option order output package page part path phase photo plan point policy post "
-    "print process product profile project python query queue read record release report request resource result review role root route row rule run "
-    "sample save scan schema screen script search section select server service session set shared site size source spec stage start state status step "
-    "store story stream string style summary system table tag target task team temp template test text that the theme thread time title total track "
-    "type unit update upload user util value version view web week with word work write year zone"
+    "able access account action analysis and any app array asset async backup base batch between block branch build cache call case check class "
+    "client code column config connection content context control core count create data date debug default delete design device document edit "
+    "engine error event example export feature field file font form from function general get global group header help host html image import "
+    "index info input install item job key lang last lib library license link list local log main map member menu message meta method model "
+    "module node object old open option order output package page part path phase photo plan point policy post print process product profile "
+    "project python query queue read record release report request resource result review role root route row rule run sample save scan schema "
+    "screen script search section select server service session set shared site size source spec stage start state status step store story stream "
+    "string style summary system table tag target task team temp template test text that the theme thread time title total track type unit update "
+    "upload user util value version view web week with word work write year zone"
 ).split()
 
 FEATURES = ("length", "transitions", "digits", "upper", "distinct", "hex", "dictionary", "slashes", "dashes", "runs", "assigned", "key_near", "plain_near", "test_path")
