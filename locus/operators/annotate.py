@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from locus.functions.sequence import adenosine_range, common_gene_name, gff_attribute, gtf_attribute, letter_numeral, mito
 from locus.operators.coverage import positions
-from locus.operators.intervals import KEYS, stab
+from locus.operators.intervals import KEYS, nearest_before, stab
 
 #: The types that a coordinate lookup looks at.
 LOOKUP_TYPES = ("intron", "exon", "5UTR", "3UTR")
@@ -62,15 +62,16 @@ def splice_annotation(sites: DataFrame, annotations: DataFrame, genome: DataFram
         sites = sites.withColumn("__at", at)
     keyed = sites.select(*KEYS, "pos", "__at").distinct()
     spans = annotations.select(*KEYS, F.col("astart").alias("__s"), F.col("aend").alias("__e"), "gene_name", "sequence_type", "region_type", "ord")
-    near = spans.withColumns({"__from": F.greatest(F.col("__s") - 2, F.lit(0)), "__to": F.col("__s") + back - 1})
     entry = F.struct("__s", "__e", "gene_name", "sequence_type", "region_type")
-    own = stab(keyed, "__at", near, "__from", "__to").groupBy(*KEYS, "pos", "__at").agg(F.max_by(entry, F.struct("__s", "ord")).alias("o"))
+    near = nearest_before(keyed.withColumn("__up", F.col("__at") + 2), "__up", spans, "__s", "__near").filter(F.col("__near") > F.col("__at") - back)
+    last = spans.groupBy(*KEYS, F.col("__s").alias("__near")).agg(F.max_by(entry, "ord").alias("o"))
+    own = near.join(last, [*KEYS, "__near"]).select(*KEYS, "pos", "__at", "o")
     hit = F.col("o").isNotNull() & (F.col("__at") <= F.col("o.__e") + 2)
     edge = F.when(F.col("strand") == "+", F.col("o.__s")).otherwise(F.col("o.__e"))
     label = F.when(F.contains(F.col("o.sequence_type"), F.lit("intron")) & (F.abs(F.col("__at") - edge) < 5), "annotated splice site").otherwise("unannotated splice site")
-    back_spans = spans.withColumns({"strand": other_strand(F.col("strand")), "__to": F.col("__s") + back - 1})
-    starts = stab(keyed, "pos", back_spans.select(*KEYS, "__s", "__to").distinct(), "__s", "__to").groupBy(*KEYS, "pos").agg(F.max("__s").alias("__s"))
-    reach = starts.join(back_spans.filter(F.col("sequence_type").isin(list(SPLICE_TYPES))), [*KEYS, "__s"]).filter(F.col("pos") <= F.col("__e"))
+    back_spans = spans.withColumn("strand", other_strand(F.col("strand")))
+    starts = nearest_before(keyed.select(*KEYS, "pos").distinct(), "pos", back_spans, "__s", "__near").filter(F.col("__near") > F.col("pos") - back)
+    reach = starts.withColumnRenamed("__near", "__s").join(back_spans.filter(F.col("sequence_type").isin(list(SPLICE_TYPES))), [*KEYS, "__s"]).filter(F.col("pos") <= F.col("__e"))
     anti = reach.groupBy(*KEYS, "pos").agg(F.min_by(F.struct("gene_name", "sequence_type", "region_type"), "ord").alias("a"))
     out = sites.join(own, [*KEYS, "pos", "__at"], "left").join(anti, [*KEYS, "pos"], "left").withColumn("__hit", hit)
     coding = F.col("__hit") & (F.col("o.sequence_type") == "CDS")

@@ -7,7 +7,7 @@ chromosome over tasks; a pair is found once, as one side is put into a single bi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("chrom", "strand")
@@ -43,3 +43,13 @@ def overlaps(a: DataFrame, b: DataFrame, a_first: str, a_last: str, b_first: str
     for k in (*keys, "__bin"):
         out = out.drop(right[k])
     return out.drop("__bin")
+
+
+def nearest_before(points: DataFrame, pos: str, starts: DataFrame, start: str, name: str, keys=KEYS) -> DataFrame:
+    """points with ``name``: the greatest start that isn't beyond the position, null without one. One sort of
+    both by position, whatever lies between them."""
+    here = points.select(*keys, F.col(pos).alias("__p")).distinct().withColumns({"__k": F.lit(1), "__s": F.lit(None).cast("int")})
+    there = starts.select(*keys, F.col(start).cast("int").alias("__p")).distinct().withColumns({"__k": F.lit(0), "__s": F.col("__p")})
+    along = Window.partitionBy(*keys).orderBy("__p", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    found = here.unionByName(there).withColumn(name, F.last("__s", ignorenulls=True).over(along)).filter("__k = 1")
+    return points.join(found.select(*keys, F.col("__p").alias(pos), name), [*keys, pos], "left")
