@@ -213,8 +213,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
     near = written(near.unionByName(near.select("root").distinct().select(F.col("root").alias("v"), "root")).select(F.col("v").alias("uid"), "root"), "near")
 
     members = written(classes.select("uid", "h1", "h2", "n_grams", "copies").join(near, "uid"), "members")
-    # texts are found again by hashes of their rows, which are the same whenever docs are read
-    texts = docs.select(*hashes, whole(text_col).alias("text")).join(members.select("uid", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+    # texts are found again by hashes of their rows, which are the same whenever docs are read; members have
+    # no bound and are never sent to all tasks
+    texts = docs.select(*hashes, whole(text_col).alias("text")).join(members.select("uid", "h1", "h2").hint("merge"), ["h1", "h2"]).dropDuplicates(["h1", "h2"])
     sets = written(texts.select("uid", "text").mapInPandas(_sets(n), GRAMS), "sets").select("uid", "grams")
     # what is joined by component is written first: Spark can then split a large one's rows over tasks
     totals = written(members.groupBy("root").agg(F.count(F.lit(1)).alias("all")), "totals")
