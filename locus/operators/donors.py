@@ -44,8 +44,8 @@ class Layout:
     pam: str = "NGG"
     forward: str = "GGACTTTggcgcgcc"
     cloning: str = "gtttgaagagc"
-    reverse: tuple[str, ...] = ("gcaaagtccaaggac", "cgtagttcggatagg", "cgcaggtgatcttac", "cagtcgcctcgtacc", "gtcctcaacgctccg", "cctgcacaccggtct", "gctctccgcagacct")
-    gibson: tuple[str, str] = ("gcgaatgggactttgg", "gtttaagagctatgctggaaa")
+    amplification: tuple[str, ...] = ("gtccttggactttgc", "cctatccgaactacg", "gtaagatcacctgcg", "ggtacgaggcgactg", "cggagcgttgaggac", "agaccggtgtgcagg", "aggtctgcggagagc")
+    gibson: tuple[str, str] = ("GCGAATGGGACTTTgg", "Gtttaagagctatgctggaaa")
     sites: tuple[str, ...] = ("GCTCTTC", "GAAGAGC")
     homology: int = 20
     to_pam: int = 20
@@ -54,6 +54,11 @@ class Layout:
     partitions: tuple[int, ...] = (5, 10, 15, 20)
     extension: tuple[int, int] = field(default=(2, 2))
 
+    @property
+    def reverse(self) -> list[str]:
+        """Primers of the subpools: the complements of their amplification sequences."""
+        return [complement_text(x) for x in self.amplification]
+
     @property
     def donor(self) -> int:
         return self.oligo - len(self.forward) - self.guide - len(self.cloning) - len(self.reverse[0])
@@ -156,7 +161,7 @@ def categorised(design: dict, lay: Layout) -> Iterator[dict]:
     elif clean:
         yield base | {"category": category, "oligo": oligo(lay.reverse[part])}
     if design["blocked"] and "T" * lay.t_run not in donor + guide:
-        yield base | {"category": "6:donor_guide", "oligo": lay.gibson[0] + donor + guide + lay.gibson[1]}
+        yield base | {"category": "6:donor_guide", "oligo": lay.gibson[0].lower() + donor + guide + lay.gibson[1].lower()}
 
 
 DESIGN = "chrom string, pos long, ref string, alt string, coord long, strand string, guide string, guide_pam string, donor string, guide_ord int, category string, oligo string, disruption int, disruptions array<int>, query string, subject string, alignment string"
