@@ -1,8 +1,8 @@
 """Scores of a probabilistic suffix tree over words.
 
 A state is a context of up to ``depth`` words before a token (the start of a text counts as a word). A
-context that has a large enough share of the training tokens is kept as a state if the distribution of the tokens
-after it diverges from that of its longest shorter state: if the log-likelihood gained over all its
+context that occurs ``least`` times in the training texts, whatever their size, is kept as a state if the
+distribution of the tokens after it diverges from that of its longest shorter state: if the log-likelihood gained over all its
 occurrences is ``gain`` for each distinct token after it. A state's distribution is that of its parent
 with its own counts (Witten and Bell's weights); the root has every word once more than seen, and one
 place for all unseen words. A token is scored in the state that is the longest suffix of what precedes it.
@@ -212,22 +212,22 @@ def _score(most: int, owners: int, totals: np.ndarray, least: int, gain: float):
     return run
 
 
-def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 2, share: float = 1e-6, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 700_000) -> DataFrame:
+def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 3, share: float = 0.0, gain: float = 1.0, id_col: str = "doc_id", text_col: str = "text", most_words: int = 700_000, least: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row of docs,
     by a tree learnt from the rows where ``held_out`` is not true.
 
     Words are in lower case (A to Z alone); the end of a text is a token. A null or empty text has that
     token alone. Repeated rows are scored, and learnt from, each. A null id stays null. Other columns are
-    not looked at; an empty table gives an empty result. ``share``: what part of all training tokens must
-    follow a context that may be a state (two at least), so that there are 1 / share of them at most at
-    each depth, whatever the input.
+    not looked at; an empty table gives an empty result. ``least``: how often a
+    context that may be a state must occur; it doesn't depend on the input, so that states grow with it.
+    ``share`` raises it to a part of all training tokens; none by default.
     """
     spark = docs.sparkSession
     owners = shuffle_partitions(spark)
     own = written_buckets(blocks(docs, lower=True, held_out=held_out, id_col=id_col, text_col=text_col, most_words=most_words), "texts", "block", owners)
     words = written(own.mapInPandas(_first(owners), ASK).groupBy("owner").applyInPandas(_count_words(owners), ANSWER).withColumn("phase", F.lit(0)), "words")
     totals = sum((unsqueeze(r["x"], np.int64) for r in words.filter("block = -1").select("x").collect()), np.zeros(3, np.int64))
-    least = max(2, math.ceil(share * int(totals[0])))
+    least = max(least, math.ceil(share * int(totals[0])))
     said = words.filter("block >= 0")
     free_shuffles(spark)
     for d in range(depth + 1):

@@ -87,3 +87,15 @@ def test_held_out_texts_score_better_than_words_alone(frame, prose):
     rows = [(i, " ".join(line[(i + k) % len(line)] for k in range(12))) for i in range(140)]
     got = suffix_scores(frame(rows), held(), share=0.0).filter("held_out").collect()
     assert got and all(r.score > r.base_score for r in got)
+
+
+def test_rare_contexts_are_states_however_large_the_corpus(frame):
+    """Two occurrences of a context among more than two million tokens: a share of them would need three."""
+    filler = "x " * 210_000
+    rows = [(100 + i, filler) for i in range(14)] + [(k, "red green blue " + tail) for k, tail in ((201, "one"), (202, "one"))]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    assert sum(r[0] > 200 for r in rows) == 2 and len(rows) * 210_000 > 2_100_000
+    got = {r.doc_id: r for r in suffix_scores(frame(rows), held(), gain=0.3).collect()}
+    want, _ = brute(rows, 3, 2, 0.3)
+    for w in want:
+        assert got[w[0]].score == pytest.approx(w[6], rel=1e-9)
