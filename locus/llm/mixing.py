@@ -5,24 +5,30 @@ weight w, block j of a source is released at slot floor(j / w) and due by slot c
 each slot the released block with the earliest deadline goes next. With weights that sum to one every block
 meets its deadline, so that in any prefix a source has less than one block more or less than its share.
 
-Weights are whole ticks of a period, and the schedule of one period repeats: it is worked out once, for
-the weights alone, and the slot of any block follows from it by arithmetic. When a source is used up, a new
-phase begins, in which the weights of the others are scaled up; nothing is dropped or repeated. The place
-of a document in its source comes from counts by bucket of the hash, so that no task ever holds a source.
+Releases and deadlines follow from the exact weights, as ratios of integers, over the whole run: no weight
+is rounded and nothing drifts. The driver goes through the slots and writes those of each source's blocks,
+some thousand to a row; documents are joined to that table. When a source is used up, a new phase begins, in
+which the weights of the others are scaled up; nothing is dropped or repeated. The place of a document in its
+source comes from counts by bucket of the hash, so that no task ever holds a source.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
 import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from locus.llm.common import shuffle_partitions, table
+from locus.llm.common import shuffle_partitions, table, written
 
-LOOKUP = "array<struct<source:string, phases:array<struct<first:bigint, last:bigint, slot0:bigint, ticks:bigint, slots:array<int>>>>>"
+#: Blocks of a source in one row of the plan, and slots that the driver holds before it writes them.
+ROW_BLOCKS, HELD_SLOTS = 1024, 1 << 20
+PLAN = pa.schema([("__source", pa.string()), ("__part", pa.int64()), ("__first", pa.int64()), ("__slots", pa.list_(pa.int64()))])
 
 
 def ticks(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -59,7 +65,9 @@ def one_period(parts: dict[str, int]) -> dict[str, list[int]]:
 
 
 def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = 1024) -> dict[str, list[dict]]:
-    """For each source its phases: the blocks first to last (not included) have the slot
+    """The same for weights rounded to ticks of a period that repeats, in which any slot follows by
+    arithmetic: after some periods it is off the target by more than a block, so mix() doesn't use it.
+    For each source its phases: the blocks first to last (not included) have the slot
     slot0 + (i div ticks) * period + slots[i mod ticks], where i counts from first."""
     period = max(period, 1 << (4 * len(blocks) - 1).bit_length()) if blocks else period
     left, done, start = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
@@ -81,6 +89,70 @@ def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = 10
     return {s: [p | {"period": period} for p in x] for s, x in out.items()}
 
 
+def order(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[str]:
+    """The source of each slot's block, by earliest deadline among the released, with exact weights."""
+    left = {s: n for s, n in blocks.items() if n}
+    while left:
+        exact = {s: Fraction(weights[s]) for s in left if weights.get(s, 0.0) > 0} or {s: Fraction(n) for s, n in left.items()}
+        unit = math.lcm(*(w.denominator for w in exact.values()))
+        names = sorted(exact)
+        parts = [int(exact[s] * unit) for s in names]
+        total = sum(parts)
+        n, done = [left[s] for s in names], [0] * len(names)
+        coming, ready = [(0, k) for k in range(len(names))], []
+        slot = 0
+        while True:
+            while coming and coming[0][0] <= slot:
+                k = heapq.heappop(coming)[1]
+                heapq.heappush(ready, (-(-(done[k] + 1) * total // parts[k]), k))
+            k = heapq.heappop(ready)[1]
+            yield names[k]
+            done[k] += 1
+            slot += 1
+            if done[k] == n[k]:
+                break
+            heapq.heappush(coming, (done[k] * total // parts[k], k))
+        left = {s: left[s] - (done[names.index(s)] if s in exact else 0) for s in left}
+        left = {s: x for s, x in left.items() if x}
+
+
+def plan(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float]) -> DataFrame:
+    """Rows of up to ROW_BLOCKS blocks: source, number of the row in its source, its first block and the
+    slots from there. What the driver has gone through is written now and then, so that it holds
+    HELD_SLOTS slots and no more, however many blocks there are."""
+    rows: list[tuple] = []
+    tables: list[DataFrame] = []
+    held: dict[str, array] = {}
+    done = dict.fromkeys(blocks, 0)
+
+    def put(s: str) -> None:
+        first = done[s] - len(held[s])
+        rows.append((s, first // ROW_BLOCKS, first, held.pop(s)))
+
+    def write() -> None:
+        for s in list(held):
+            put(s)
+        made = pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * 4, PLAN, strict=True)], schema=PLAN)
+        tables.append(written(spark.createDataFrame(made), "slots"))
+        rows.clear()
+
+    for slot, s in enumerate(order(blocks, weights)):
+        held.setdefault(s, array("q")).append(slot)
+        done[s] += 1
+        if done[s] % ROW_BLOCKS == 0:
+            put(s)
+        if (slot + 1) % HELD_SLOTS == 0:
+            write()
+    if rows or held or not tables:
+        write()
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    # a row that was written before it was full goes on in the next table
+    parts = out.groupBy("__source", "__part").agg(F.sort_array(F.collect_list(F.struct("__first", "__slots"))).alias("x"))
+    return parts.select("__source", "__part", F.flatten("x.__slots").alias("__slots"))
+
+
 def tempered(counts: dict[str, int], power: float = 0.5) -> dict[str, float]:
     """Weights in proportion to a power of the sources' sizes: small sources get more than their share."""
     total = math.fsum(n**power for n in counts.values()) or 1.0
@@ -92,14 +164,14 @@ def source_key(source_col: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_docs: int = 8, power: float = 0.5, period: int = 1024, id_col: str = "doc_id", source_col: str = "source", seed: int = 10) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_docs: int = 8, power: float = 0.5, id_col: str = "doc_id", source_col: str = "source", seed: int = 10) -> DataFrame:
     """docs, all columns, with __block (of its source, from 0), __slot and __place (in its block).
 
     ``weights``: target weight of each source; without it a power of the sources' sizes. Sources without a
     weight, or one that isn't above zero, come after all others, in proportion to their sizes. Every row of
-    docs comes once, repeated rows too; a null id or source is a value like others. The number of sources
-    is that of a weights table: the plan of one period for each is sent to all tasks, bounded by the
-    square of the number of sources times four, or that number times ``period``.
+    docs comes once, repeated rows too; a null id or source is a value like others. In any prefix of the
+    slots of a phase a source is off its exact target weight by less than a block. The number of sources is
+    that of a weights table; the plan has a number for each block, in a written table that is joined.
     """
     spark = docs.sparkSession
     keyed = docs.withColumns({"__source": source_key(source_col), "__hash": F.xxhash64(F.col(id_col), F.lit(seed))})
@@ -117,18 +189,13 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_d
         given = tempered(counts, power)
     else:
         given = {"" if s is None else f"={s}": w for s, w in weights.items()}
-    plan = schedule({s: -(-n // block_docs) for s, n in counts.items()}, given, period)
-    period = next((p["period"] for x in plan.values() for p in x), period)
-    text = json.dumps([{"source": s, "phases": [{k: v for k, v in p.items() if k != "period"} for p in x]} for s, x in plan.items()])
-    lookup = spark.range(1).select(F.inline(F.from_json(F.lit(text), LOOKUP))).select(F.col("source").alias("__source"), F.col("phases").alias("__phases"))
+    slots = plan(spark, {s: -(-n // block_docs) for s, n in counts.items()}, given)
 
     in_bucket = Window.partitionBy("__source", "__bucket").orderBy("__hash", id_col)
     rank = F.col("__before") + F.row_number().over(in_bucket) - 1
     placed = keyed.join(offsets, ["__source", "__bucket"]).withColumn("__rank", rank).withColumns({"__block": F.floor(F.col("__rank") / block_docs), "__place": F.col("__rank") % block_docs})
-    placed = placed.join(F.broadcast(lookup), "__source")
-    phase = F.filter("__phases", lambda p: (F.col("__block") >= p["first"]) & (F.col("__block") < p["last"]))[0]
-    placed = placed.withColumn("__phase", phase).withColumn("__i", F.col("__block") - F.col("__phase.first"))
-    slot = F.col("__phase.slot0") + F.floor(F.col("__i") / F.col("__phase.ticks")) * period + F.get(F.col("__phase.slots"), (F.col("__i") % F.col("__phase.ticks")).cast("int"))
+    placed = placed.withColumn("__part", F.floor(F.col("__block") / ROW_BLOCKS)).join(slots, ["__source", "__part"])
+    slot = F.get("__slots", (F.col("__block") % ROW_BLOCKS).cast("int"))
     return placed.withColumn("__slot", slot.cast("long")).select(*[F.col(c) for c in docs.columns], F.col("__block").cast("long"), "__slot", F.col("__place").cast("long"))
 
 

@@ -1,10 +1,12 @@
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from locus.llm.mixing import mix, mixed, one_period, schedule, ticks
+from locus.llm import mixing
+from locus.llm.mixing import mix, mixed, one_period, order, schedule, ticks
 
 
 @settings(max_examples=200, deadline=None)
@@ -95,3 +97,33 @@ def test_mixed_returns_the_columns_in_order(frame):
     assert got.columns == docs.columns
     want = [r.doc_id for r in sorted(mix(docs, block_docs=4).collect(), key=lambda r: (r["__slot"], r["__place"]))]
     assert [r.doc_id for r in got.collect()] == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.text(max_size=3), st.floats(1e-6, 10), min_size=1, max_size=12))
+def test_all_prefixes_are_within_a_block_of_the_exact_weights(weights):
+    total, done = sum(map(Fraction, weights.values())), dict.fromkeys(weights, 0)
+    for t, s in zip(range(1, 1500), order(dict.fromkeys(weights, 5000), weights), strict=False):
+        done[s] += 1
+        assert all(abs(done[x] - Fraction(weights[x]) * t / total) < 1 for x in weights)
+
+
+def test_a_long_run_keeps_to_unrounded_weights():
+    for weights in ({"a": 1.0, "b": 1.0, "c": 1.0}, {"a": 0.7, "b": 0.2999, "c": 0.0001}):
+        total, done = sum(weights.values()), dict.fromkeys(weights, 0)
+        for t, s in zip(range(1, 60_001), order(dict.fromkeys(weights, 10**6), weights), strict=False):
+            done[s] += 1
+            if t % 97 == 0 or t > 59_900:
+                assert all(abs(done[x] - weights[x] / total * t) < 1 for x in weights)
+
+
+def test_prefixes_of_a_long_mix_follow_the_weights(frame, spark, monkeypatch):
+    monkeypatch.setattr(mixing, "HELD_SLOTS", 1500)  # rows that go on in the next table
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "'' AS text", "'en' AS lang", "concat('s', id % 3) AS source", "0L AS n_chars")
+    weights = {"s0": 1.0, "s1": 1.0, "s2": 1.0}
+    got = sorted((r["__slot"], r.source) for r in mix(docs, weights, block_docs=1).select("source", "__slot").collect())
+    assert [t for t, _ in got] == list(range(24_000))
+    done = Counter()
+    for t, s in got:
+        done[s] += 1
+        assert all(abs(done[x] - (t + 1) / 3) < 1 for x in weights)
