@@ -28,9 +28,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by similar word n-grams the one with the smallest doc_id stays."""
-    gone = jaccard_join.jaccard_join(docs).filter("doc_id <> class_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of documents that are linked by similar word n-grams the row with the smallest doc_id stays."""
+    return jaccard_join.without_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.blocks import paired, squeeze_sorted, unsqueeze_sorted, word_hashes
@@ -186,19 +186,17 @@ def _verify(similarity: float):
     return run
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, block_sets: int = 128, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
-    """doc_id, class_id, set_id and n_links for each row of docs.
+def row_key(id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> tuple[Column, Column]:
+    """128 bits that rows of the same id, which may be null, and the same text share, and no others."""
+    key = (F.col(id_col).isNull(), F.col(id_col), whole(text_col))
+    return F.xxhash64(*key).alias("h1"), F.xxhash64(F.lit(seed), *key).alias("h2")
 
-    A link is between two rows whose sets of word ``n``-grams have a Jaccard similarity of ``similarity`` or
-    more; words are what white space parts, as written. ``n_links``: a row's links, equal sets too;
-    ``class_id``: the smallest doc_id that can be reached by links; ``set_id``: the smallest with the same
-    set. A text of fewer words than n has one n-gram, all its words; a null, empty or blank text has none
-    and no links, and is a class of its own, as is any row without links. Repeated rows link to each other.
-    A null id counts as the largest. An empty table gives an empty result.
-    """
+
+def _joined(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, block_sets: int = 128, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs (doc_id, uid, h1, h2, digest) and, for each digest, class_id, set_id, n_links and best:
+    the uid of the row that stands for the class."""
     bands, rows = bands_and_rows(similarity, recall)
-    key = (F.col(id_col).isNull(), F.col(id_col), whole(text_col))
-    hashes = (F.xxhash64(*key).alias("h1"), F.xxhash64(F.lit(seed), *key).alias("h2"))
+    hashes = row_key(id_col, text_col, seed)
     numbered = docs.select(F.col(id_col).cast("long"), F.monotonically_increasing_id().alias("uid"), *hashes, whole(text_col).alias("text"))
     signed = written(numbered.mapInArrow(_sign(n, bands, rows, seed), SIGNED), "signed")
 
@@ -255,11 +253,42 @@ def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: f
 
     known = classes.select("uid", "digest", F.col("doc_id").alias("set_id"), "copies").join(links, "uid", "left").join(roots, "uid", "left")
     known = written(known.withColumn("root", F.coalesce("root", "uid")).withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1), "known")
-    least = known.groupBy("root").agg(F.min("set_id").alias("class_id"))
-    known = known.join(least, "root").select("digest", "class_id", "set_id", "n_links")
-    out = signed.select("doc_id", "digest").join(known, "digest", "left")
+    least = known.groupBy("root").agg(F.min("set_id").alias("class_id"), F.min_by("uid", F.struct(F.col("set_id").isNull(), "set_id", "uid")).alias("best"))
+    known = known.join(least, "root").select("digest", "class_id", "set_id", "n_links", "best")
+    return signed, known
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, block_sets: int = 128, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
+    """doc_id, class_id, set_id and n_links for each row of docs.
+
+    A link is between two rows whose sets of word ``n``-grams have a Jaccard similarity of ``similarity`` or
+    more; words are what white space parts, as written. ``n_links``: a row's links, equal sets too;
+    ``class_id``: the smallest doc_id that can be reached by links; ``set_id``: the smallest with the same
+    set. A text of fewer words than n has one n-gram, all its words; a null, empty or blank text has none
+    and no links, and is a class of its own, as is any row without links. Repeated rows link to each other.
+    A null id counts as the largest. An empty table gives an empty result.
+    """
+    signed, known = _joined(docs, n, similarity, recall, block_sets, id_col, text_col, seed)
+    out = signed.select("doc_id", "digest").join(known.drop("best"), "digest", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("set_id", "doc_id").alias("set_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1, **how) -> DataFrame:
+    """docs with one row of each class: that of the smallest id, a null one being the largest.
+
+    Rows are known by id and text, so that ids may be null or repeat. Rows that are the same in both are
+    near copies of each other. Texts without words are no copies and all stay.
+    """
+    signed, known = _joined(docs, id_col=id_col, text_col=text_col, seed=seed, **how)
+    stands = written(signed.join(known.select("digest", "best"), "digest").select("h1", "h2", (F.col("uid") == F.col("best")).alias("stays")), "stands")
+    by_key = stands.groupBy("h1", "h2").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    key = dict(zip(("h1", "h2"), row_key(id_col, text_col, seed), strict=True))
+    keyed = docs.withColumns({f"__{k}": c for k, c in key.items()})
+    on = lambda t: (F.col("__h1") == t["h1"]) & (F.col("__h2") == t["h2"])
+    gone, again = by_key.filter("NOT stays OR rows > 1"), by_key.filter("stays AND rows > 1")
+    once = keyed.join(gone, on(gone), "left_anti")
+    return once.unionByName(keyed.join(again, on(again), "left_semi").dropDuplicates(["__h1", "__h2"])).select(*docs.columns)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))

@@ -42,6 +42,23 @@ def test_stages_on_a_small_corpus(spark, frame, prose, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(before)
 
 
+def test_near_copies_with_null_and_repeated_ids(spark, frame):
+    """One row of each class, whatever its id; a row that only shares a copy's id stays."""
+    base = [f"b{i}" for i in range(80)]
+    near = lambda k, of: " ".join(of[:40] + [f"e{k}"] + of[41:])
+    other, third, clean = ([f"{x}{i}" for i in range(80)] for x in "qrz")
+    rows = [(None, near(k, base)) for k in range(3)]  # null ids alone
+    rows += [(7, near(k, other)) for k in range(3)]  # one id for all
+    rows += [(1, near(1, third)), (9, near(2, third)), (None, near(3, third)), (9, " ".join(clean))]  # a clean sibling of 9
+    rows += [(20, "same words here"), (20, "same words here"), (21, "same words here"), (3, None), (3, ""), (3, "")]
+    docs = frame(rows, more=False)
+    got = [(r.doc_id, r.text) for r in written(corpus_pipeline.near_stage(spark, docs, ""), "t").collect()]
+    assert sum(i is None for i, _ in got) == 1 and sum(i == 7 for i, _ in got) == 1
+    assert [t for i, t in got if i == 1] == [rows[6][1]] and [t for i, t in got if i == 9] == [rows[9][1]]
+    assert sorted(i for i, t in got if t == "same words here") == [20] and sum(i == 3 for i, _ in got) == 3
+    assert len(got) == 8 and corpus_pipeline.near_stage(spark, docs, "").columns == docs.columns
+
+
 def test_odd_rows_and_empty_tables(spark, frame, odd, tmp_path):
     for name, rows in (("odd", odd), ("empty", [])):
         d = tmp_path / name
