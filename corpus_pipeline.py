@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from locus.llm.common import table, whole, written
+from locus.llm.common import in_written_order, table, whole, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +33,13 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture."""
+    """All documents, in the order of the mixture: of files, and of rows in them, which packing reads."""
     return mixing.mixed(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
-    return packing.pack_documents(docs, packing.default_tokenizer())
+    """The pieces of all documents with their sequences, whose numbers follow the order of the mixture."""
+    return packing.pack_documents(in_written_order(docs), packing.default_tokenizer(), place_col="__place")
 
 
 STAGES = [

@@ -6,7 +6,8 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -70,6 +71,21 @@ def whole(text: str = "text"):
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def in_written_order(docs: DataFrame, place: str = "__place") -> DataFrame:
+    """docs, as read from the files of one written table, with the place of each row: files follow the
+    partitions that wrote them, and rows keep their number in a file whoever reads it. Other docs are
+    written first. What is sent to all tasks is a number for each file."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs, "ordered")
+    named = docs.withColumns({"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")})
+    part = F.regexp_extract("__file", r"^part-(\d+)", 1).try_cast("long")
+    before = Window.orderBy(F.coalesce(part, F.lit(0)), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = named.groupBy("__file").agg(F.count(F.lit(1)).alias("__n")).select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return named.join(F.broadcast(files), "__file").withColumn(place, F.col("__before") + F.col("__row")).select(*docs.columns, place)
+
+
 def written_buckets(df: DataFrame, tag: str, key: str, n: int) -> DataFrame:
     """As written(), in n buckets by key: what is grouped by that key later need not be moved again."""
     spark, name = df.sparkSession, f"locus_{tag}_{uuid.uuid4().hex}"

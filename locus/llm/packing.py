@@ -8,6 +8,10 @@ other, removes the bins that then hold a piece twice, and best-fits the pieces s
 round the best solution of an island migrates to the next one. A solution with as few bins as the total
 length allows ends the search of its group. What lies in the least filled bins of all groups is pooled
 and packed again in the same way, level by level, until one group is left.
+
+Where documents have an order, pieces are numbered by it, groups hold what lies together in it, and a
+sequence has the number of its middle piece: in the order of their numbers, sequences follow the documents
+(a pooled one holds pieces from a wider range, in whose middle it then is, not at its start).
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locus.llm.common import table, whole, written
@@ -113,6 +117,10 @@ PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.i
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 
 
+#: A piece's number is its document's place and, in these bits, which piece of it it is.
+PIECE_BITS = 20
+
+
 def _pieces(path: str, size: int, end: int, most_words: int = 300_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
@@ -121,7 +129,9 @@ def _pieces(path: str, size: int, end: int, most_words: int = 300_000):
                 part = batch.slice(at, 256)
                 words = vocabulary(path, most_words)
                 out: list[tuple] = []
-                for doc, ids in zip(part.column(0).to_pylist(), encoded(part.column(1).to_pylist(), words, end), strict=True):
+                for doc, place, ids in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), encoded(part.column(1).to_pylist(), words, end), strict=True):
+                    if place is not None:
+                        uid = place << PIECE_BITS
                     for k, start in enumerate(range(0, len(ids), size)):
                         cut = ids[start : start + size]
                         out.append((doc, k, start, len(cut), zlib.crc32(cut.astype("<u4").tobytes()), uid))
@@ -131,9 +141,11 @@ def _pieces(path: str, size: int, end: int, most_words: int = 300_000):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, size: int = 4096, end: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each piece of each document, with the CRC-32 of its ids and a number of its own."""
-    return docs.select(F.col(id_col).cast("long"), whole(text_col)).mapInArrow(_pieces(tokenizer_path, size, end), PIECE_DDL)
+def pieces(docs: DataFrame, tokenizer_path: str, size: int = 4096, end: int = 1, id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None) -> DataFrame:
+    """A row for each piece of each document, with the CRC-32 of its ids and a number of its own, which
+    follows ``place_col`` where that is given: a number from 0 that no two documents share."""
+    place = F.col(place_col).cast("long") if place_col else F.lit(None).cast("long")
+    return docs.select(F.col(id_col).cast("long"), whole(text_col), place.alias("__place")).mapInArrow(_pieces(tokenizer_path, size, end), PIECE_DDL)
 
 
 # ---- the search in one group -------------------------------------------------------------------------
@@ -274,16 +286,17 @@ def _island(size: int, generations: int, most: int, seed: int, round_: int):
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each piece: its bin, its offset there and how full the bin is."""
+    """A row for each piece: its bin, its offset there, how full the bin is and its middle piece."""
     for pdf in batches:
         for r in pdf.itertuples(index=False):
             lengths, bins = np.asarray(r.lengths, np.int64), np.frombuffer(r.best, np.int32)
             order = np.lexsort((np.asarray(r.uids), bins))
             stop = np.cumsum(lengths[order])
             first = np.flatnonzero(np.diff(bins[order], prepend=-1))
-            before = np.repeat((stop - lengths[order])[first], np.diff(np.append(first, len(order))))
+            uids, count = np.asarray(r.uids)[order], np.diff(np.append(first, len(order)))
+            before = np.repeat((stop - lengths[order])[first], count)
             fill = np.bincount(bins, weights=lengths).astype(np.int64)
-            yield pd.DataFrame({"grp": r.grp, "uid": np.asarray(r.uids)[order], "length": lengths[order], "bin": bins[order].astype(np.int64), "offset": stop - lengths[order] - before, "fill": fill[bins[order]]})
+            yield pd.DataFrame({"grp": r.grp, "uid": uids, "length": lengths[order], "bin": bins[order].astype(np.int64), "offset": stop - lengths[order] - before, "fill": fill[bins[order]], "middle": np.repeat(uids[first + count // 2], count)})
 
 
 def _cost_of(size: int):
@@ -295,11 +308,18 @@ def _cost_of(size: int):
     return run
 
 
-def pack_items(items: DataFrame, size: int, group_items: int, islands: int, rounds: int, generations: int, population: int, seed: int) -> tuple[DataFrame, int]:
-    """Bins for items (uid, length): grp, uid, length, bin, offset, fill; and the number of groups."""
+def pack_items(items: DataFrame, size: int, group_items: int, islands: int, rounds: int, generations: int, population: int, seed: int, ordered: bool = False) -> tuple[DataFrame, int]:
+    """Bins for items (uid, length): grp, uid, length, bin, offset, fill, middle; and the number of groups."""
     n = items.count()
     groups = max(1, math.ceil(n / group_items))
-    dealt = items.groupBy(F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)).alias("grp")).agg(F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length")))).alias("x"))
+    if ordered:  # runs of places, whose items are counted, one after another into groups
+        items = items.withColumn("run", F.floor(F.shiftright("uid", PIECE_BITS) / max(1, group_items // 16)))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        runs = items.groupBy("run").agg(F.count(F.lit(1)).alias("n")).select("run", F.floor(before / group_items).alias("grp"))
+        grouped = items.join(runs, "run").groupBy("grp")
+    else:
+        grouped = items.groupBy(F.pmod(F.xxhash64("uid", F.lit(seed)), F.lit(groups)).alias("grp"))
+    dealt = grouped.agg(F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length")))).alias("x"))
     state = dealt.select("grp", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.col("x.uid").alias("uids"), F.col("x.length").alias("lengths"), F.lit(None).cast("array<binary>").alias("population"), F.lit(None).cast("binary").alias("migrant"))
     for k in range(rounds):
         state = written(state.mapInPandas(_island(size, generations, population, seed, k), ISLAND), "islands")
@@ -308,22 +328,23 @@ def pack_items(items: DataFrame, size: int, group_items: int, islands: int, roun
             state = state.drop("migrant").join(migrants, ["grp", "island"])
     scored = state.mapInPandas(_cost_of(size), "grp long, island int, bins int, uneven double, uids array<long>, lengths array<int>, best binary")
     best = scored.groupBy("grp").agg(F.min_by(F.struct("uids", "lengths", "best"), F.struct("bins", "uneven", "island")).alias("b")).select("grp", "b.uids", "b.lengths", "b.best")
-    return best.mapInPandas(_places, "grp long, uid long, length long, bin long, offset long, fill long"), groups
+    return best.mapInPandas(_places, "grp long, uid long, length long, bin long, offset long, fill long, middle long"), groups
 
 
-def pack(pieces_: DataFrame, size: int = 4096, group_items: int = 2048, islands: int = 2, rounds: int = 2, generations: int = 12, population: int = 4, seed: int = 7, repack_below: float = 0.98) -> DataFrame:
+def pack(pieces_: DataFrame, size: int = 4096, group_items: int = 2048, islands: int = 2, rounds: int = 2, generations: int = 12, population: int = 4, seed: int = 7, repack_below: float = 0.98, ordered: bool = False) -> DataFrame:
     """sequence_id and offset for each piece (as pieces() gives them, written).
 
     A piece as long as a sequence has one of its own. Groups hold ``group_items`` pieces on average,
     whatever the input; the number of groups follows the number of pieces. After a level, pieces in bins
     filled below ``repack_below`` are pooled over all groups and packed again while that needs fewer groups.
+    ``ordered``: the pieces' numbers are an order, which groups and the numbers of sequences follow.
     """
     alone = pieces_.filter(F.col("length") == size).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     items, level, parts = pieces_.filter(F.col("length") < size).select("uid", "length"), 0, [alone]
     while True:
-        placed, groups = pack_items(items, size, group_items, islands, rounds, generations, population, seed + level)
+        placed, groups = pack_items(items, size, group_items, islands, rounds, generations, population, seed + level, ordered)
         placed = written(placed.withColumn("level", F.lit(level)), "placed")
-        number = ((F.lit(level + 1).cast("long") * F.lit(1 << 58)) + F.col("grp") * F.lit(1 << 16) + F.col("bin")).alias("sequence_id")
+        number = F.col("middle").alias("sequence_id") if ordered else ((F.lit(level + 1).cast("long") * F.lit(1 << 58)) + F.col("grp") * F.lit(1 << 16) + F.col("bin")).alias("sequence_id")
         last = groups == 1
         full = placed if last else placed.filter(F.col("fill") >= repack_below * size)
         parts.append(full.select("uid", number, "offset"))
@@ -341,13 +362,14 @@ def pack(pieces_: DataFrame, size: int = 4096, group_items: int = 2048, islands:
     return pieces_.join(out, "uid").drop("uid")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 4096, end: int = 1, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 4096, end: int = 1, id_col: str = "doc_id", text_col: str = "text", place_col: str | None = None, **search) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset for each piece of docs.
 
     A null text is empty: one piece that holds the end token alone. Rows that repeat a doc_id are packed
-    each for itself. Other columns are not looked at; an empty table gives an empty result.
+    each for itself. Other columns are not looked at; an empty table gives an empty result. With
+    ``place_col`` sequences follow the order of documents: see pieces().
     """
-    return pack(written(pieces(docs, tokenizer_path, size, end, id_col, text_col), "pieces"), size, **search)
+    return pack(written(pieces(docs, tokenizer_path, size, end, id_col, text_col, place_col), "pieces"), size, ordered=place_col is not None, **search)
 
 
 def default_tokenizer() -> str:

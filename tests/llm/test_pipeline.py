@@ -1,7 +1,8 @@
 import random
 
 import corpus_pipeline
-from locus.llm.common import written
+from locus.llm import mixing
+from locus.llm.common import in_written_order, written
 
 
 def test_stages_on_a_small_corpus(spark, frame, prose, tmp_path):
@@ -59,6 +60,25 @@ def test_near_copies_with_null_and_repeated_ids(spark, frame):
     assert len(got) == 8 and corpus_pipeline.near_stage(spark, docs, "").columns == docs.columns
 
 
+def test_sequences_follow_the_mixture(spark, frame):
+    """Prefixes of the sequences have the share of each source that is its target."""
+    rng = random.Random(1)
+    words = lambda: " ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(100, 400)))
+    sources = {i: "small" if i < 900 else "large" for i in range(9000)}
+    docs = frame([(i, words(), s) for i, s in sources.items()], more=False).repartition(5)
+    first = written(corpus_pipeline.mixing_stage(spark, docs, ""), "t")
+    place = {r.doc_id: r["__place"] for r in in_written_order(first).select("doc_id", "__place").collect()}
+    slots = sorted(mixing.mix(docs).select("__slot", mixing.F.col("__place").alias("p"), "doc_id").collect())
+    assert [r.doc_id for r in slots] == sorted(place, key=place.get) and sorted(place.values()) == list(range(9000))
+    pieces = corpus_pipeline.packing_stage(spark, first, "").select("sequence_id", "offset", "length", "doc_id").collect()
+    assert len(pieces) == 9000 and {r.doc_id for r in pieces} == set(sources)
+    order = [r.doc_id for r in sorted(pieces)]  # by sequence_id
+    share = 900**0.5 / (900**0.5 + 8100**0.5)  # 1/4 until the small source is used up, at 3,600
+    for n in (500, 1000, 2000, 3000):
+        assert abs(sum(sources[i] == "small" for i in order[:n]) / n - share) < 0.05
+    assert sum(sources[i] == "small" for i in order[:4500]) > 800
+
+
 def test_odd_rows_and_empty_tables(spark, frame, odd, tmp_path):
     for name, rows in (("odd", odd), ("empty", [])):
         d = tmp_path / name
