@@ -1,9 +1,10 @@
 """Media columns: texts as WAV payloads, their spectra and spectral-peak pair fingerprints.
 
 A payload is stored as unsigned 8-bit mono samples in a WAV file made by the wave module and read back by
-it. The samples go through a short-time Fourier transform; of each frame the strongest local maxima are
+it. The samples, with silence before and after them, go through a short-time Fourier transform of
+overlapping frames, so that no byte lies at the edge of all its frames; of each frame the strongest local maxima are
 peaks, and each peak is paired with peaks of the next frames. A pair is one number (the two frequencies
-and the frames between), stored with the frame at which it starts.
+and the frames between), stored with the time at which it starts, in whole frame lengths.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 from locus.llm.common import table, whole
 
-RATE, FRAME, HOP, PEAKS, AHEAD, CHUNK = 8000, 256, 256, 2, 2, 4096
+RATE, FRAME, HOP, PEAKS, AHEAD, CHUNK = 8000, 256, 64, 4, 2, 4096
+#: Silence before the samples, so that the first bytes too are in as many frames as others.
+LEAD = FRAME - HOP
 WINDOW = np.hanning(FRAME).astype(np.float32)
 
 
@@ -49,7 +52,10 @@ def from_wav(media: bytes) -> bytes:
 
 def _peaks(samples: np.ndarray, first: int, last: int) -> np.ndarray:
     """The PEAKS strongest local maxima of frames first to last, as rows of frequency numbers; 0: none."""
-    part = samples[first * HOP : (last - 1) * HOP + FRAME].astype(np.float32) - 128.0
+    begin = first * HOP - LEAD
+    part = samples[max(0, begin) : (last - 1) * HOP + FRAME - LEAD].astype(np.float32) - 128.0
+    if begin < 0:
+        part = np.concatenate([np.zeros(-begin, np.float32), part])
     short = (last - 1 - first) * HOP + FRAME - len(part)
     if short > 0:
         part = np.concatenate([part, np.zeros(short, np.float32)])
@@ -64,9 +70,9 @@ def _peaks(samples: np.ndarray, first: int, last: int) -> np.ndarray:
 
 
 def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Times (frame numbers) and pair codes of the samples, a chunk of frames after another."""
+    """Times (in frame lengths) and pair codes of the samples, a chunk of frames after another."""
     x = np.frombuffer(samples, np.uint8)
-    n = max(1, -(-(len(x) - FRAME) // HOP) + 1)
+    n = max(AHEAD + 1, -(-(len(x) + LEAD) // HOP))
     times, codes = [], []
     for first in range(0, n, CHUNK):
         own = min(n, first + CHUNK) - first
@@ -76,7 +82,7 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
             for i in range(PEAKS):
                 for j in range(PEAKS):
                     at = np.flatnonzero((a[:, i] > 0) & (b[:, j] > 0))
-                    times.append(at + first)
+                    times.append((at + first) * HOP // FRAME)
                     codes.append((a[at, i] << 12) | (b[at, j] << 4) | ahead)
     t, c = np.concatenate(times), np.concatenate(codes)
     order = np.lexsort((c, t))
@@ -120,7 +126,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """For each row of docs the WAV file of its text, digests of what is stored and read back, and its
     fingerprint; without ``whole_media`` the digests alone.
 
-    A null text is empty and gives 64 zero bytes, whose spectrum is flat: a fingerprint without pairs.
+    A null text is empty and gives 64 zero bytes. A short payload has AHEAD + 1 frames too, and so pairs;
+    texts that differ in a few letters may still have the same peaks, and then the same fingerprint.
     Equal texts get equal values; repeated rows stay; a null id stays null; other columns are not looked at.
     """
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col)).mapInArrow(_media(whole_media), DDL if whole_media else DDL.split(", media binary")[0])

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import zlib
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +41,28 @@ def test_a_fingerprint_is_found_again_in_a_longer_text():
     assert inner and inner <= set(zip(t2.tolist(), c2.tolist(), strict=True))
 
 
+def test_a_fingerprint_is_found_again_at_any_shift():
+    rng = random.Random(3)
+    words = ["river", "stone", "quick", "brown", "under", "seven", "lantern", "of", "a", "window", "market", "green"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n)).encode()
+    part = text(400)[:2048]
+    before, after, other = text(900), text(200), Counter(fingerprint(text(400)[:2048])[1].tolist())
+    alone = Counter(fingerprint(part)[1].tolist())
+    for shift in (64, 1000, 1088, 1777, 2050):
+        t, c = fingerprint(before[:shift] + part + after)
+        near = Counter(c[(t >= shift // 256) & (t <= (shift + 2048 - 256) // 256)].tolist())
+        assert (near & alone).total() > 1.3 * (other & alone).total()
+        if shift % 64 == 0:
+            assert (near & alone).total() >= 0.85 * alone.total()
+
+
+def test_different_short_texts_have_different_features(frame):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["river", "stone", "quick", "brown", "of", "a", "window", "market"]) for _ in range(8 + k % 20)) for k in range(60)]
+    got = [r.feature for r in media_columns(frame(list(enumerate(texts)))).collect()]
+    assert len(set(got)) == len(texts) and not any(f.startswith("0:") for f in got)
+
+
 def test_chunks_of_frames_change_nothing(monkeypatch):
     raw = payload("some words that go on " * 900)
     one = fingerprint(raw)
