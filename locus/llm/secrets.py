@@ -19,6 +19,9 @@ from locus.llm.common import table, whole, written
 WORDS = r"[\x20\x09-\x0D]+"
 #: Runs of key characters that hold a digit, or what is assigned to a name that says it is secret.
 CANDIDATE = r"""(?i)(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}|(?<=(?:password|passwd|secret|token|api_key|apikey)["']?[=:]["']?)[^\s"',;=]{8,}"""
+#: What is assigned, with spaces, to such a name in one of the two words before.
+NAME = r"""(?i)(?:password|passwd|secret|token|api_key|apikey)["']?"""
+VALUE = r"""[^\s"',;=]{8,}"""
 LEAST = 8
 
 KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|secret|token|api[_\-]?key|access[_\-]?key|auth|credential|bearer|private)"
@@ -48,11 +51,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, word (its number, from 0), nth (in the word), candidate, host (the word), near (the two words
     before and the one after) and path. No text is cut, and every word of it is looked at."""
     words = F.split(whole(text_col), WORDS)
-    numbers = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: (F.length(F.get("__w", i)) >= LEAST) & F.get("__w", i).rlike(CANDIDATE))
+    one_before, two_before = (lambda i, k=k: _before(F.col("__w"), i, k) for k in (1, 2))
+    spaced = lambda i: one_before(i).rlike(NAME + "[=:]$") | (one_before(i).rlike("^[=:]$") & two_before(i).rlike(NAME + "$")) | (F.get("__w", i).rlike("^[=:]") & one_before(i).rlike(NAME + "$"))
+    holds = lambda i: F.get("__w", i).rlike(CANDIDATE) | (F.get("__w", i).rlike(VALUE) & spaced(i))
+    numbers = F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: (F.length(F.get("__w", i)) >= LEAST) & holds(i))
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("__w"), (F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")).alias("path"))
-    hits = F.transform(numbers, lambda i: F.struct(i.cast("long").alias("word"), F.get("__w", i).alias("host"), F.concat_ws(" ", _before(F.col("__w"), i, 2), _before(F.col("__w"), i, 1), _before(F.col("__w"), i, -1)).alias("near")))
+    hits = F.transform(numbers, lambda i: F.struct(i.cast("long").alias("word"), F.get("__w", i).alias("host"), F.concat_ws(" ", _before(F.col("__w"), i, 2), _before(F.col("__w"), i, 1), _before(F.col("__w"), i, -1)).alias("near"), spaced(i).alias("spaced")))
     one = found.select("doc_id", "path", F.explode(hits).alias("h")).select("doc_id", "path", "h.*")
-    return one.select("doc_id", "word", F.posexplode(F.regexp_extract_all("host", F.lit(CANDIDATE), F.lit(0))).alias("nth", "candidate"), "host", "near", "path")
+    of = F.when(F.col("spaced"), F.regexp_extract_all("host", F.lit(VALUE), F.lit(0))).otherwise(F.regexp_extract_all("host", F.lit(CANDIDATE), F.lit(0)))
+    return one.select("doc_id", "word", F.posexplode(of).alias("nth", "candidate"), "host", "near", "path")
 
 
 def features(found: DataFrame) -> DataFrame:
@@ -87,6 +94,9 @@ def labelled_findings(spark: SparkSession, rows: int = 1400, seed: int = 9) -> D
         (1, f"substr({hexes}, 1, 40)", "concat('\"', {c}, '\"')", f"concat({name}, ' =')"),
         (1, f"substr({mixed}, 1, cast(20 + pmod(xxhash64(id, 8), 30) as int))", f"concat({name}, ':', {{c}})", plain),
         (1, f"substr({mixed}, 1, cast(20 + pmod(xxhash64(id, 8), 24) as int))", "{c}", f"concat({name}, ':')"),
+        (1, f"substr({mixed}, 1, cast(8 + pmod(xxhash64(id, 8), 12) as int))", "concat('\"', {c}, '\"')", f"concat({name}, ' =')"),
+        (1, f"substr(translate({hexes}, '0123456789', 'qrstuvwxyz'), 1, cast(10 + pmod(xxhash64(id, 8), 16) as int))", "{c}", f"concat({word(20)}, ' ', {name}, ':')"),
+        (1, f"concat({word(21)}, pmod(xxhash64(id, 22), 90), {word(23)})", "{c}", f"concat({word(20)}, ' ', {name}, ':')"),
         (1, f"concat('ghx_', substr({mixed}, 1, 36))", "{c}", plain),
         (0, f"substr({hexes}, 1, 40)", "{c}", f"concat({word(13)}, ' ', {digest})"),
         (0, f"substr({other}, 1, 64)", f"concat({digest}, ':', {{c}})", plain),

@@ -37,6 +37,13 @@ def test_scan_keeps_secrets_and_removes_false_positives(frame):
     assert [r.is_secret for r in scan(frame(ROWS)).filter("doc_id = 1").collect()] == [True, True]
 
 
+def test_short_and_all_letter_values_of_spaced_assignments(frame):
+    rows = [(1, 'password = "Tr0ub4dor&3" end'), (2, "the secret: hunter2pass is"), (3, "client_secret: qzrtwvxkplmn"), (4, "a token =Xk9vQ2mT7w"), (5, "see hunter2pass alone"), (6, "ratio = something")]
+    got = {r.doc_id: r.candidate for r in candidates(frame(rows)).select("doc_id", "candidate").collect()}
+    assert got == {1: "Tr0ub4dor&3", 2: "hunter2pass", 3: "qzrtwvxkplmn", 4: "Xk9vQ2mT7w"}
+    assert {r.doc_id: r.is_secret for r in scan(frame(rows)).collect()} == dict.fromkeys((1, 2, 3, 4), True)
+
+
 def test_odd_rows(frame, odd):
     assert scan(frame(odd)).count() == 0
     assert scan(frame([])).count() == 0
