@@ -69,7 +69,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-BLOCK = "block long, docs binary, nulls binary, held binary, sizes binary, words binary, ids binary"
+BLOCK = "block long, n long, docs binary, nulls binary, held binary, sizes binary, words binary, ids binary"
 
 
 def _blocks(most_words: int, lower: bool):
@@ -84,7 +84,7 @@ def _blocks(most_words: int, lower: bool):
 
         def close() -> pa.RecordBatch:
             row = [
-                number, squeeze(np.array([d or 0 for d in docs], np.int64)), squeeze(np.array([d is None for d in docs], np.uint8)), squeeze(np.array(held, np.uint8)), squeeze(np.array(sizes, np.int64)),
+                number, count, squeeze(np.array([d or 0 for d in docs], np.int64)), squeeze(np.array([d is None for d in docs], np.uint8)), squeeze(np.array(held, np.uint8)), squeeze(np.array(sizes, np.int64)),
                 zstandard.ZstdCompressor(level=3).compress(b" ".join(seen)), squeeze(np.concatenate(ids).astype(np.uint32)),
             ]
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=[x.split()[0] for x in BLOCK.split(", ")])

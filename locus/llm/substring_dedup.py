@@ -1,14 +1,19 @@
 """Substring deduplication by prefix-partitioned suffix trees over words.
 
-A suffix begins at each word of each document. Suffixes are split by their prefixes: first by a prefix of
-``short`` words; a prefix that only one suffix has can't begin a repeat and leaves, and a prefix that more
-suffixes have than fit a group is made longer, word count by word count, up to the window itself, so that
-groups have a bounded size. In a group the suffixes, sorted by the hashes of their longer and longer
-prefixes, are the leaves of a subtree whose inner nodes are the equal prefixes; where the node as deep as
-the window has more than one leaf, the window is a repeat and its words go, at each of its places.
-
-Neither phase moves texts: a suffix is known by hashes of its prefixes (40 bits to route, 64 more at the
-window's depth), each block sends equal ones once with a count, and the answers are bit masks.
+A suffix begins at each word of each document. Suffixes are split by their prefixes, first by one of
+``short`` words: a prefix that one suffix alone has begins no repeat; one that at most ``group_suffixes``
+have makes a group; one that more have is made longer by two fifths, step by step up to the window, and
+its suffixes are split anew. A window can repeat only if none of the short prefixes in it stands alone, so
+that nearly all other suffixes leave before groups are formed. Groups are dealt to tasks whose number
+follows from the counts, so that a task's groups fit into memory.
+
+In a group the suffixes are sorted by their words up to the window: they are the leaves of a subtree, and
+what neighbours have in common gives its inner nodes. Nodes as deep as the window with two or more leaves
+are repeats. The words before and after a node's leaves say whether it branches there. Along a document,
+nodes between which nothing branches are one longer repeat: it is given as one span with its copies.
+
+Texts don't move: a block sends hashes of prefixes with counts, then each of its distinct windows that may
+repeat once, as numbers of words; the answers say for each how many leaves it has and where it branches.
 """
 
 from __future__ import annotations
@@ -21,10 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locus.llm.blocks import ANSWER, ASK, BLOCK, Block, ask, answered, blocks, merged, mixed, paired, squeeze, unsqueeze, unsqueeze_sorted, word_hashes
+from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, owner, paired, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted, word_hashes
 from locus.llm.common import free_shuffles, shuffle_partitions, table, written, written_buckets
 
-SHORT, ROUTE_BITS = 10, 40
+#: Words of the first prefix; bits of a prefix's key beyond those that number all words; bits dropped from a word's hash.
+SHORT, SPARE_BITS, WORD_SHIFT = 10, 13, np.uint64(24)
+#: Keys, and windows, that one owner has at most on average.
+OWNER_KEYS, OWNER_WINDOWS = 8_000_000, 250_000
 
 
 def prefix_hashes(words: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
@@ -34,7 +42,8 @@ def prefix_hashes(words: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray
     n = 1
     while 2 * n <= max(lengths):
         x = at[n].copy()
-        x[: len(x) - n] = paired(at[n][: len(x) - n], at[n][n:]) if len(x) > n else x[:0]
+        left = max(0, len(x) - n)
+        x[:left] = paired(at[n][:left], at[n][n:])
         at[2 * n], n = x, 2 * n
     out = {}
     for length in lengths:
@@ -53,147 +62,275 @@ def prefix_hashes(words: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray
     return out
 
 
-def _starts(sizes: np.ndarray, window: int) -> np.ndarray:
-    """The places, in a block, at which a window of words of one document begins."""
+def steps(short: int, window: int) -> list[int]:
+    """Lengths of prefixes, each two fifths longer than the last, up to the window."""
+    out = [min(short, window)]
+    while out[-1] < window:
+        out.append(min(window, -(-out[-1] * 7 // 5)))
+    return out
+
+
+def _starts(sizes: np.ndarray, length: int, window: int) -> np.ndarray:
+    """The places, in a block, at which ``length`` words of a document of at least ``window`` words begin."""
     begin = np.cumsum(sizes) - sizes
-    n = np.maximum(0, sizes - window + 1)
+    n = np.where(sizes >= window, sizes - length + 1, 0)
     first = np.cumsum(n) - n
     return np.repeat(begin - first, n) + np.arange(int(n.sum()))
 
 
-def _routes(hashes: np.ndarray) -> np.ndarray:
-    """40 bits of a hash, at the top of a number."""
-    return hashes & ~np.uint64((1 << (64 - ROUTE_BITS)) - 1)
-
-
-def _ask_prefixes(window: int, short: int, owners: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                b = Block(row)
-                at = _starts(b.sizes, window)
-                if len(at):
-                    route = _routes(prefix_hashes(word_hashes(b.words)[b.ids], [short])[short][at])
-                    keys, n = np.unique(route, return_counts=True)
-                    yield ask(b.number, keys, owners, np.minimum(n, 255).astype(np.uint8), None)
-
-    return run
+def _keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes & ~np.uint64((1 << (64 - bits)) - 1)
 
 
 #: Answers about a prefix: no other suffix has it; its group is small; it needs a longer prefix.
 ALONE, GROUP, LONGER = 0, 1, 2
 
 
-def _count_prefixes(group_suffixes: int):
+def count_prefixes(group_suffixes: int, last: bool):
+    """An owner's answers about prefixes; in a row for block -1 the suffixes in groups, prefixes that must
+    be longer, and suffixes of the largest group. At the ``last`` step a prefix is a window, one node."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unsqueeze_sorted(k) for k in pdf["keys"]]
         keys, where = merged(parts)
-        n = np.bincount(where, weights=np.concatenate([unsqueeze(a, np.uint8) for a in pdf["a"]]), minlength=len(keys))
-        say = np.where(n < 2, ALONE, np.where(n <= group_suffixes, GROUP, LONGER)).astype(np.uint8)[where]
+        n = np.bincount(where, weights=np.concatenate([unsqueeze(a, np.uint32) for a in pdf["a"]]), minlength=len(keys)).astype(np.int64)
+        say = np.where(n < 2, ALONE, np.where((n <= group_suffixes) | last, GROUP, LONGER)).astype(np.uint8)
         cut = np.cumsum([len(p) for p in parts])[:-1]
-        return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": [squeeze(x) for x in np.split(say, cut)], "y": None})
+        own = int(pdf["owner"].iloc[0])
+        out = pd.DataFrame({"block": pdf["block"], "owner": own, "x": [squeeze(x) for x in np.split(say[where], cut)], "y": None})
+        sums = np.array([n[say == GROUP].sum(), (say == LONGER).sum(), 0 if last else n[say == GROUP].max(initial=0)], np.int64)
+        return pd.concat([out, pd.DataFrame({"block": [-1], "owner": [own], "x": [squeeze(sums)], "y": [None]})])
 
     return run
 
 
+def _counted(keys: np.ndarray, where: np.ndarray) -> np.ndarray:
+    return np.bincount(where, minlength=len(keys)).astype(np.uint32)
+
+
 class _Suffixes:
-    """The suffixes of a block that may repeat: their places, how they are routed, and the window's hash."""
-
-    def __init__(self, b: Block, said: pd.DataFrame, window: int, short: int):
-        at = _starts(b.sizes, window)
-        hashes = prefix_hashes(word_hashes(b.words)[b.ids], [short, window])
-        route = _routes(hashes[short][at])
-        keys, where = np.unique(route, return_inverse=True)
-        say = answered(said, np.uint8)
-        assert len(say) == len(keys)
-        stay = say[where] != ALONE
-        self.at = at[stay]
-        deep = hashes[window][self.at]
-        # a longer prefix: that of the window itself, which a subtree's node at that depth has for its path
-        path = np.where(say[where][stay] == LONGER, _routes(mixed(deep)), route[stay])
+    """The suffixes of a block that may repeat: their places and the keys of their prefixes."""
+
+    def __init__(self, b: Block, lengths: list[int], bits: int):
+        self.b, self.lengths, self.bits = b, lengths, bits
+        self.words = word_hashes(b.words)
+        self.hashes = prefix_hashes(self.words[b.ids], lengths)
+        self.short, self.window = lengths[0], lengths[-1]
+        self.begin = _starts(b.sizes, self.short, self.window)
+        self.keys, _, self.where = distinct(_keys(self.hashes[self.short][self.begin], bits))
+
+    def hear(self, said: pd.DataFrame, upto: int) -> None:
+        """Take in the answers of the steps before ``upto``; then, if there are more, self.keys are those to ask."""
+        say = answered(said[said["phase"] == 0], np.uint8)[self.where]
+        state = np.zeros(len(self.b.ids) + self.window, np.uint8)
+        state[self.begin] = say
+        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(state != ALONE)])
+        at, inner = _starts(self.b.sizes, self.window, self.window), self.window - self.short + 1
+        self.at = at[before[at + inner] - before[at] == inner]
+        self.state, self.path = state[self.at], _keys(self.hashes[self.short][self.at], self.bits)
+        for phase in range(1, upto + 1):
+            if phase == len(self.lengths):
+                break
+            todo = np.flatnonzero(self.state == LONGER)
+            self.keys, _, self.where = distinct(_keys(mixed(self.hashes[self.lengths[phase]][self.at[todo]]), self.bits))
+            if phase < upto:
+                self.state[todo], self.path[todo] = answered(said[said["phase"] == phase], np.uint8)[self.where], self.keys[self.where]
+
+    def form(self, said: pd.DataFrame) -> None:
+        """The distinct windows that are in groups, by path: a place of each, its leaves, and the only word
+        before and after them (as its number in the block from 1, 0 where there are several or the text ends)."""
+        self.hear(said, len(self.lengths))
+        stay = self.state == GROUP
+        self.at, path = self.at[stay], self.path[stay]
+        deep = self.hashes[self.window][self.at]
         order = np.lexsort((deep, path))
         path, deep = path[order], deep[order]
         new = np.ones(len(order), bool)
         new[1:] = (path[1:] != path[:-1]) | (deep[1:] != deep[:-1])
         self.node = np.empty(len(order), np.int64)
         self.node[order] = np.cumsum(new) - 1
-        self.path, self.deep = path[new], deep[new]
-        self.count = np.diff(np.append(np.flatnonzero(new), len(order)))
+        cut = np.flatnonzero(new)
+        self.path, self.place, self.leaves = path[new], self.at[order][new], np.diff(np.append(cut, len(order)))
+        stop = np.cumsum(self.b.sizes)
+        edge = np.zeros(len(self.b.ids) + 1, bool)  # a text begins
+        edge[np.append(0, stop)] = True
+        ids = np.append(self.b.ids, 0) + 1
+        sides = (np.where(edge[self.at], 0, ids[self.at - 1]), np.where(edge[self.at + self.window], 0, ids[self.at + self.window]))
+        self.sides = [_only(x[order], cut) for x in sides]
+
+    def ask_windows(self, owners: int) -> pd.DataFrame:
+        """Each window once: its words after the short prefix and those beside it, as places in a list of
+        words' hashes that goes with them, and its leaves."""
+        hashes = np.append(np.zeros(1, np.uint64), (self.words >> WORD_SHIFT) | np.uint64(1))
+        flag, place = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.uint32)
+        cut, rows = np.searchsorted(owner(self.path, owners), np.arange(owners + 1)), []
+        for o, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if j > i:
+                words = np.concatenate([self.b.ids[self.place[i:j] + np.arange(self.short, self.window)[:, None]] + 1, [s[i:j] for s in self.sides]])
+                flag[words.ravel()] = True
+                flag[0] = True
+                used = np.flatnonzero(flag)
+                flag[used] = False
+                used = used[np.argsort(hashes[used], kind="stable")]
+                place[used] = np.arange(len(used))
+                rows.append((o, self.b.number, squeeze_sorted(self.path[i:j]), squeeze(np.append(place[words].ravel(), self.leaves[i:j].astype(np.uint32))), squeeze_sorted(hashes[used])))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in ASK.split(", ")])
+
+
+def _only(x: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """For each run of x that begins at cut its only value, 0 where there are several."""
+    if not len(cut):
+        return x[:0]
+    low, high = np.minimum.reduceat(x, cut), np.maximum.reduceat(x, cut)
+    return np.where(low == high, low, 0)
+
+
+def subtrees(width: int):
+    """For each window of an owner's groups: 0 if its node has one leaf, else four times its leaves, and 1
+    if it branches to the left, 2 if to the right. ``width``: words between the short prefix and the window's end."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        paths = [unsqueeze_sorted(k) for k in pdf["keys"]]
+        lists = [unsqueeze_sorted(b) for b in pdf["b"]]
+        number = np.unique(np.concatenate(lists))  # the first is 0: no only word
+        words, leaves = [], []
+        for path, known, raw in zip(paths, lists, pdf["a"], strict=True):
+            m = unsqueeze(raw, np.uint32).reshape(width + 3, len(path))
+            words.append(np.searchsorted(number, known).astype(np.uint32)[m[:-1]])
+            leaves.append(m[-1])
+        words, leaves, path = np.concatenate(words, axis=1), np.concatenate(leaves), np.concatenate(paths)
+        two = [words[k].astype(np.uint64) << np.uint64(32) | words[k + 1] if k + 1 < width else words[k] for k in range(0, width, 2)]
+        order = np.lexsort((*reversed(two), path))
+        words, path = words[:, order], path[order]
+        same = words[:width, 1:] == words[:width, :-1]
+        common = np.where(same.all(axis=0), width, np.argmin(same, axis=0)) if width else np.zeros(max(0, len(path) - 1), np.int64)
+        deep = np.ones(len(path), bool)  # where a node as deep as the window begins
+        deep[1:] = (path[1:] != path[:-1]) | (common < width)
+        cut, node = np.flatnonzero(deep), np.cumsum(deep) - 1
+        n = np.bincount(node, weights=leaves[order]).astype(np.uint32)
+        left, right = (_only(words[k], cut) == 0 for k in (width, width + 1))
+        told = np.empty(len(path), np.uint32)
+        told[order] = np.where(n >= 2, 4 * n + left + 2 * right, 0).astype(np.uint32)[node]
+        return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": [squeeze(x) for x in np.split(told, np.cumsum([len(p) for p in paths])[:-1])], "y": None})
+
+    return run
 
 
-def _ask_windows(window: int, short: int, owners: int):
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _ask_first(lengths: list[int], bits: int, owners: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                s = _Suffixes(Block(row), lengths, bits)
+                yield ask(row.block, s.keys, owners, _counted(s.keys, s.where))
+
+    return run
+
+
+def _ask_longer(phase: int, lengths: list[int], bits: int, owners: int):
+    def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = [ask(0, np.zeros(0, np.uint64), owners)]
         for row in left.itertuples(index=False):
-            if len(right):
-                s = _Suffixes(Block(row), right, window, short)
-                out.append(ask(row.block, s.path, owners, s.deep, np.minimum(s.count, 2).astype(np.uint8)))
+            if any((unsqueeze(x, np.uint8) == LONGER).any() for x in said.loc[said["phase"] == phase - 1, "x"]):
+                s = _Suffixes(Block(row), lengths, bits)
+                s.hear(said, phase)
+                out.append(ask(row.block, s.keys, owners, _counted(s.keys, s.where)))
         return pd.concat(out)
 
     return run
 
 
-def _subtrees(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The deep nodes of an owner's subtrees: its suffixes sorted by path, then by the window's hash."""
-    paths = [unsqueeze_sorted(k) for k in pdf["keys"]]
-    path, deep = np.concatenate(paths), np.concatenate([unsqueeze(a, np.uint64) for a in pdf["a"]])
-    count = np.concatenate([unsqueeze(b, np.uint8) for b in pdf["b"]]).astype(np.int64)
-    order = np.lexsort((deep, path))
-    new = np.ones(len(order), bool)
-    new[1:] = (path[order][1:] != path[order][:-1]) | (deep[order][1:] != deep[order][:-1])
-    node = np.cumsum(new) - 1
-    leaves = np.bincount(node, weights=count[order]) if len(order) else np.zeros(0)
-    repeat = np.empty(len(order), np.uint8)
-    repeat[order] = leaves[node] >= 2
-    cut = np.cumsum([len(p) for p in paths])[:-1]
-    return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": [squeeze(x) for x in np.split(repeat, cut)], "y": None})
+def _ask_windows(lengths: list[int], bits: int, owners: int):
+    def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
+        out = [ask(0, np.zeros(0, np.uint64), owners)]
+        for row in left.itertuples(index=False):
+            s = _Suffixes(Block(row), lengths, bits)
+            s.form(said)
+            out.append(s.ask_windows(owners))
+        return pd.concat(out)
+
+    return run
 
 
 REMOVED = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+FOUND = ", kept_text string, repeats array<struct<first: long, stop: long, copies: long>>"
+WINDOWS = -1  # the phase of answers about windows
+
 
+def _spans(at: np.ndarray, told: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Longer repeats: first place, end and copies of runs of windows between which nothing branches."""
+    at, told = at[told > 0], told[told > 0]
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) != 1) | (told[1:] & 1 > 0) | (told[:-1] & 2 > 0)
+    cut = np.flatnonzero(new)
+    return at[cut], at[np.append(cut[1:], len(at)) - 1] + window if len(cut) else at[cut], told[cut].astype(np.int64) >> 2
 
-def _remove(window: int, short: int, texts: bool):
+
+def _remove(lengths: list[int], bits: int, found: bool):
     def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for row in left.itertuples(index=False):
             b = Block(row)
+            s = _Suffixes(b, lengths, bits)
+            s.form(said)
+            told = answered(said[said["phase"] == WINDOWS], np.uint32)[s.node]
             cover = np.zeros(len(b.ids) + 1, np.int64)
-            if len(said):
-                s = _Suffixes(b, said[said["phase"] == 1], window, short)
-                repeat = s.at[answered(said[said["phase"] == 2], np.uint8)[s.node].astype(bool)]
-                np.add.at(cover, repeat, 1)
-                np.add.at(cover, repeat + window, -1)
+            repeat = s.at[told > 0]
+            np.add.at(cover, repeat, 1)
+            np.add.at(cover, repeat + s.window, -1)
             gone = np.cumsum(cover)[:-1] > 0
-            words = b.words
-            stop = np.cumsum(b.sizes)
-            for doc, i, j in zip(b.doc_ids, (stop - b.sizes).tolist(), stop.tolist(), strict=True):
-                kept = b" ".join([words[k] for k in b.ids[i:j][~gone[i:j]].tolist()])
-                rows.append((doc, j - i, int(gone[i:j].sum()), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if texts else [])))
-        out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else [])])
+            words, stop = b.words, np.cumsum(b.sizes)
+            first, end, copies = _spans(s.at, told, s.window) if found else (repeat[:0],) * 3
+            of = np.searchsorted(first, np.append(0, stop))
+            for k, (doc, i, j) in enumerate(zip(b.doc_ids, (stop - b.sizes).tolist(), stop.tolist(), strict=True)):
+                kept = b" ".join([words[w] for w in b.ids[i:j][~gone[i:j]].tolist()])
+                more = ()
+                if found:
+                    span = slice(of[k], of[k + 1])
+                    more = (kept.decode(), [{"first": p, "stop": q, "copies": n} for p, q, n in zip((first[span] - i).tolist(), (end[span] - i).tolist(), copies[span].tolist(), strict=True)])
+                rows.append((doc, j - i, int(gone[i:j].sum()), hashlib.sha256(kept).hexdigest(), *more))
+        out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept_text", "repeats"] if found else [])])
         return out.assign(doc_id=pd.array([r[0] for r in rows], dtype="Int64"))
 
     return run
 
 
-def substring_dedup(docs: DataFrame, window: int = 35, short: int = SHORT, group_suffixes: int = 200_000, texts: bool = True, id_col: str = "doc_id", text_col: str = "text", most_words: int = 1_000_000) -> DataFrame:
-    """For each row of docs: doc_id, n_words, n_removed, kept_sha256 and, with ``texts``, kept_text.
+def substring_dedup(docs: DataFrame, window: int = 35, short: int = SHORT, group_suffixes: int = 200_000, found: bool = True, id_col: str = "doc_id", text_col: str = "text", most_words: int = 1_000_000) -> DataFrame:
+    """For each row of docs: doc_id, n_words, n_removed, kept_sha256 and, with ``found``, kept_text and
+    repeats: the spans of words (first, and stop after the last) that stand elsewhere as well, as long as no
+    copy is lost or gained, with their number of copies.
 
     A word goes if a window of ``window`` words that covers it begins anywhere else as well, in the same
     document too; all places go. A null or empty text, and one of fewer words than the window, loses
     nothing. Repeated rows are copies of each other like any. A null id stays null. Other columns are not
     looked at; an empty table gives an empty result.
+
+    ``group_suffixes``: suffixes in a group; a prefix that more have is made longer. A prefix as long as the
+    window makes a group of one node, which any number may have: a block sends it once.
     """
-    owners = shuffle_partitions(docs.sparkSession)
-    short = min(short, window)
-    own = written_buckets(blocks(docs, most_words=most_words, id_col=id_col, text_col=text_col), "blocks", "block", owners)
-    first = own.mapInPandas(_ask_prefixes(window, short, owners), ASK).groupBy("owner").applyInPandas(_count_prefixes(group_suffixes), ANSWER)
-    first = written(first, "prefixes")
-    free_shuffles(docs.sparkSession)
-    second = own.groupBy("block").cogroup(first.groupBy("block")).applyInPandas(_ask_windows(window, short, owners), ASK)
-    second = written(second.groupBy("owner").applyInPandas(_subtrees, ANSWER), "windows")
-    said = first.withColumn("phase", F.lit(1)).unionByName(second.withColumn("phase", F.lit(2)))
-    return own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_remove(window, short, texts), REMOVED + ", kept_text string" * texts)
+    spark, lengths = docs.sparkSession, steps(short, window)
+    parts = shuffle_partitions(spark)
+    own = written_buckets(blocks(docs, most_words=most_words, id_col=id_col, text_col=text_col), "blocks", "block", parts)
+    n_words = own.agg(F.sum("n")).first()[0] or 0
+    bits, owners = min(64, n_words.bit_length() + SPARE_BITS), max(parts, -(-n_words // OWNER_KEYS))
+    said, suffixes = None, 0
+    for phase in range(len(lengths)):
+        asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_ask_longer(phase, lengths, bits, owners), ASK) if phase else own.mapInPandas(_ask_first(lengths, bits, owners), ASK)
+        heard = asked.groupBy("owner").applyInPandas(count_prefixes(group_suffixes, phase == len(lengths) - 1), ANSWER)
+        heard = written(heard.withColumn("phase", F.lit(phase)), "prefixes")
+        del asked
+        free_shuffles(spark)
+        sums = sum((unsqueeze(r["x"], np.int64) for r in heard.filter("block = -1").select("x").collect()), np.zeros(3, np.int64))
+        said = heard.filter("block >= 0") if said is None else said.unionByName(heard.filter("block >= 0"))
+        suffixes += int(sums[0])
+        if not sums[1]:
+            break
+    owners = max(parts, -(-suffixes // OWNER_WINDOWS))
+    asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_ask_windows(lengths, bits, owners), ASK)
+    told = written(asked.groupBy("owner").applyInPandas(subtrees(lengths[-1] - lengths[0]), ANSWER).withColumn("phase", F.lit(WINDOWS)), "windows")
+    del asked
+    free_shuffles(spark)
+    return own.groupBy("block").cogroup(said.unionByName(told).groupBy("block")).applyInPandas(_remove(lengths, bits, found), REMOVED + FOUND * found)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"), texts=False)
+    return substring_dedup(table(spark, sf_dir, "documents"), found=False)
