@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -57,9 +58,12 @@ def drop_written(*frames: DataFrame) -> None:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Have the driver notice that exchanges before the last written table aren't needed any more, so that
-    executors delete their files now and not at some later garbage collection."""
-    gc.collect()
-    spark._jvm.System.gc()
+    executors delete their files now and not at some later garbage collection. Twice, as what the first
+    collection frees may hold more."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

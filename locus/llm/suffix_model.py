@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, paired, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted, word_hashes
 from locus.llm.common import free_shuffles, shuffle_partitions, table, written, written_buckets
 
-#: Pairs are known by 56 bits: a byte less for each entry that an exchange moves.
-KEY_BITS = ~np.uint64(0xFF)
+#: Bits of a key beyond those that number the training tokens: of a million keys one is another's, at any size.
+SPARE_BITS = 20
 END, START = mixed(np.array([0x656E64, 0x7374617274], np.uint64))
 
 
@@ -61,12 +61,13 @@ def _count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sum_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Distinct tokens after each of an owner's contexts, and the sums for its divergence."""
+    """For each of an owner's contexts the distinct tokens after it if it diverges enough to be a state, else 0."""
     parts = [unsqueeze_sorted(k) for k in pdf["keys"]]
     keys, where = merged(parts)
     distinct = np.bincount(where, weights=np.concatenate([unsqueeze(a, np.uint32) for a in pdf["a"]]), minlength=len(keys)).astype(np.uint32)
-    gained = np.bincount(where, weights=np.concatenate([unsqueeze(b, np.float64) for b in pdf["b"]]), minlength=len(keys))
-    return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": _split(distinct[where], parts), "y": _split(gained[where], parts)})
+    gained = np.bincount(where, weights=np.concatenate([unsqueeze(b, np.float32) for b in pdf["b"]]), minlength=len(keys))
+    state = np.where(gained >= 0, distinct, 0).astype(np.uint32)
+    return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": _split(state[where], parts), "y": None})
 
 
 class _Texts:
@@ -94,6 +95,8 @@ class _Texts:
 
     def hear_words(self, said: pd.DataFrame, totals: np.ndarray) -> None:
         self.n_tokens, self.n_words, n_texts = (int(x) for x in totals)
+        bits = min(64, int(self.n_tokens).bit_length() + SPARE_BITS)
+        self.mask = ~np.uint64((1 << (64 - bits)) - 1)
         n, number = np.empty(len(self.order), np.int64), np.empty(len(self.order), np.uint64)
         n[self.order] = answered(said, np.int64)
         told = said.sort_values("owner")
@@ -109,7 +112,7 @@ class _Texts:
     def begin_depth(self, least: int) -> None:
         """Where the contexts of this depth are frequent enough, and the distinct pairs there."""
         self.at = np.flatnonzero(self.seen >= least)
-        self.pairs, self.pair_first, self.pair = distinct(paired(self.context[self.at], self.id[self.at]) & KEY_BITS)
+        self.pairs, self.pair_first, self.pair = distinct(paired(self.context[self.at], self.id[self.at]) & self.mask)
 
     def ask_pairs(self) -> pd.DataFrame:
         n = np.bincount(self.pair, weights=self.train[self.at], minlength=len(self.pairs)).astype(np.uint32)
@@ -121,31 +124,32 @@ class _Texts:
         now = np.zeros(len(self.token), np.int64)
         now[self.at] = self.pair_n[self.pair]
         self.now = now
-        self.contexts, first, self.ctx = distinct(self.context[self.at])
-        self.ctx_n = self.seen[self.at][first]
+        at = self.at[self.pair_first]
+        self.contexts, first, self.of = distinct(self.context[at] & self.mask)
+        self.ctx, self.ctx_n = self.of[self.pair], self.seen[at][first]
         self.next_context, self.next_seen = self.context.copy(), np.zeros(len(self.token), np.int64)
         self.next_context[1:] = paired(self.context[:-1], self.id[:-1])
         self.next_seen[1:] = np.where(self.first[1:], 0, now[:-1])
 
-    def ask_contexts(self) -> pd.DataFrame:
-        of = self.ctx[self.pair_first]
+    def ask_contexts(self, gain: float) -> pd.DataFrame:
+        """This block's part of each context's distinct tokens, and of the log-likelihood that its own counts
+        gain on its parent beyond what a state must; of a context's parts the sum over all blocks decides."""
         mine = (self.mine > 0) & (self.pair_n > 0)
-        distinct = np.bincount(of, weights=mine, minlength=len(self.contexts)).astype(np.uint32)
-        own = np.bincount(of, weights=mine * self.pair_n * np.log(np.maximum(self.pair_n, 1)), minlength=len(self.contexts))
-        parent = np.bincount(self.ctx, weights=self.train[self.at] * np.log(self.p[self.at]), minlength=len(self.contexts))
-        return ask(self.number, self.contexts, self.owners, distinct, own - parent)
-
-    def hear_contexts(self, said: pd.DataFrame, gain: float) -> None:
-        distinct, gained = answered(said, np.uint32).astype(np.float64), answered(said, np.float64, "y")
-        state = gained - self.ctx_n * np.log(np.maximum(self.ctx_n, 1)) >= gain * distinct
-        n, t = self.ctx_n[self.ctx], distinct[self.ctx]
-        p = (self.now[self.at] + t * self.p[self.at]) / np.maximum(n + t, 1)
-        self.p[self.at] = np.where(state[self.ctx] & (t > 0), p, self.p[self.at])
+        add = lambda of, x: np.bincount(of, weights=x, minlength=len(self.contexts))
+        kinds = add(self.of, mine)
+        own = add(self.of, mine * self.pair_n * np.log(np.maximum(self.pair_n, 1)))
+        below = add(self.ctx, self.train[self.at] * (np.log(self.p[self.at]) + np.log(np.maximum(self.ctx_n, 1))[self.ctx]))
+        return ask(self.number, self.contexts, self.owners, kinds.astype(np.uint32), (own - below - gain * kinds).astype(np.float32))
+
+    def hear_contexts(self, said: pd.DataFrame) -> None:
+        t = answered(said, np.uint32).astype(np.float64)[self.ctx]
+        p = (self.now[self.at] + t * self.p[self.at]) / np.maximum(self.ctx_n[self.ctx] + t, 1)
+        self.p[self.at] = np.where(t > 0, p, self.p[self.at])
 
     def next_depth(self) -> None:
         self.context, self.seen = self.next_context, self.next_seen
 
-    def replay(self, said: pd.DataFrame, totals: np.ndarray, upto: int, least: int, gain: float) -> None:
+    def replay(self, said: pd.DataFrame, totals: np.ndarray, upto: int, least: int) -> None:
         """Hear the answers of all phases up to one: words are 0, pairs at depth d 2d - 1, contexts 2d."""
         self.hear_words(said[said["phase"] == 0], totals)
         for phase in range(1, upto + 1):
@@ -155,7 +159,7 @@ class _Texts:
                 self.begin_depth(least)
                 self.hear_pairs(said[said["phase"] == phase])
             else:
-                self.hear_contexts(said[said["phase"] == phase], gain)
+                self.hear_contexts(said[said["phase"] == phase])
 
 
 def _first(owners: int):
@@ -178,9 +182,9 @@ def _asking(depth: int, most: int, owners: int, totals: np.ndarray, least: int,
         out = [ask(0, np.zeros(0, np.uint64), owners).assign(kind=0)]
         for row in left.itertuples(index=False):
             t = _Texts(Block(row), owners)
-            t.replay(said, totals, 2 * depth - 1 if depth else 0, least, gain)
+            t.replay(said, totals, 2 * depth - 1 if depth else 0, least)
             if depth:
-                out.append(t.ask_contexts().assign(kind=2 * depth))
+                out.append(t.ask_contexts(gain).assign(kind=2 * depth))
                 t.next_depth()
             if depth < most:
                 t.begin_depth(least)
@@ -198,13 +202,13 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(most: int, owners: int, totals: np.ndarray, least: int, gain: float):
+def _score(most: int, owners: int, totals: np.ndarray, least: int):
     def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in left.itertuples(index=False):
             b = Block(row)
             t = _Texts(b, owners)
-            t.replay(said, totals, 2 * most, least, gain)
+            t.replay(said, totals, 2 * most, least)
             by = lambda x: np.bincount(t.doc, weights=x, minlength=len(b.sizes))  # noqa: B023, E731
             out.append(pd.DataFrame({"doc_id": pd.array(b.doc_ids, dtype="Int64"), "held_out": b.held, "n_tokens": b.sizes + 1, "n_known": by(t.n > 0).astype(np.int64), "train_tokens": t.n_tokens, "base_score": by(t.base), "score": by(np.log10(t.p))}))
         return pd.concat(out)
@@ -236,7 +240,7 @@ def suffix_scores(docs: DataFrame, held_out: Column, depth: int = 3, share: floa
         said = said.unionByName(written(heard, "heard"))
         del asked, heard
         free_shuffles(spark)
-    return own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_score(depth, owners, totals, least, gain), SCORES)
+    return own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_score(depth, owners, totals, least), SCORES)
 
 
 def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
