@@ -16,5 +16,6 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_substring_dedup": substring_dedup.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
 }

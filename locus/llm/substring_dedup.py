@@ -7,13 +7,14 @@ its suffixes are split anew. A window can repeat only if none of the short prefi
 that nearly all other suffixes leave before groups are formed. Groups are dealt to tasks whose number
 follows from the counts, so that a task's groups fit into memory.
 
-In a group the suffixes are sorted by their words up to the window: they are the leaves of a subtree, and
-what neighbours have in common gives its inner nodes. Nodes as deep as the window with two or more leaves
-are repeats. The words before and after a node's leaves say whether it branches there. Along a document,
-nodes between which nothing branches are one longer repeat: it is given as one span with its copies.
+In a group the suffixes are sorted by hashes of their longer and longer prefixes, at the same steps: they
+are the leaves of a subtree, and the steps that neighbours have in common give its inner nodes, which so
+have the depths of the steps. Nodes as deep as the window with two or more leaves are repeats. The words
+before and after a node's leaves say whether it branches there. Along a document, nodes between which
+nothing branches are one longer repeat: it is given as one span with its copies.
 
 Texts don't move: a block sends hashes of prefixes with counts, then each of its distinct windows that may
-repeat once, as numbers of words; the answers say for each how many leaves it has and where it branches.
+repeat once; the answers say for each how many leaves it has and where it branches.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from locus.llm.blocks import ANSWER, ASK, Block, answered, ask, blocks, distinct, merged, mixed, owner, paired, squeeze, squeeze_sorted, unsqueeze, unsqueeze_sorted, word_hashes
 from locus.llm.common import free_shuffles, shuffle_partitions, table, written, written_buckets
 
-#: Words of the first prefix; bits of a prefix's key beyond those that number all words; bits dropped from a word's hash.
-SHORT, SPARE_BITS, WORD_SHIFT = 10, 13, np.uint64(24)
+#: Words of the first prefix; bits of a prefix's key beyond those that number all words; bits dropped from the
+#: hash of a longer prefix, of which 24 are left, as equal windows agree at every step.
+SHORT, SPARE_BITS, STEP_SHIFT = 10, 13, np.uint64(40)
 #: Keys, and windows, that one owner has at most on average.
 OWNER_KEYS, OWNER_WINDOWS = 8_000_000, 250_000
 
@@ -137,8 +139,7 @@ class _Suffixes:
                 self.state[todo], self.path[todo] = answered(said[said["phase"] == phase], np.uint8)[self.where], self.keys[self.where]
 
     def form(self, said: pd.DataFrame) -> None:
-        """The distinct windows that are in groups, by path: a place of each, its leaves, and the only word
-        before and after them (as its number in the block from 1, 0 where there are several or the text ends)."""
+        """The distinct windows that are in groups, by path: a place of each, and its leaves in this block."""
         self.hear(said, len(self.lengths))
         stay = self.state == GROUP
         self.at, path = self.at[stay], self.path[stay]
@@ -151,29 +152,24 @@ class _Suffixes:
         self.node[order] = np.cumsum(new) - 1
         cut = np.flatnonzero(new)
         self.path, self.place, self.leaves = path[new], self.at[order][new], np.diff(np.append(cut, len(order)))
+        self.cut, self.order = cut, order
+
+    def sides(self) -> list[np.ndarray]:
+        """For each distinct window a hash of the only word before it, and after it."""
         stop = np.cumsum(self.b.sizes)
         edge = np.zeros(len(self.b.ids) + 1, bool)  # a text begins
         edge[np.append(0, stop)] = True
-        ids = np.append(self.b.ids, 0) + 1
-        sides = (np.where(edge[self.at], 0, ids[self.at - 1]), np.where(edge[self.at + self.window], 0, ids[self.at + self.window]))
-        self.sides = [_only(x[order], cut) for x in sides]
-
-    def ask_windows(self, owners: int) -> pd.DataFrame:
-        """Each window once: its words after the short prefix and those beside it, as places in a list of
-        words' hashes that goes with them, and its leaves."""
-        hashes = np.append(np.zeros(1, np.uint64), (self.words >> WORD_SHIFT) | np.uint64(1))
-        flag, place = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.uint32)
-        cut, rows = np.searchsorted(owner(self.path, owners), np.arange(owners + 1)), []
-        for o, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-            if j > i:
-                words = np.concatenate([self.b.ids[self.place[i:j] + np.arange(self.short, self.window)[:, None]] + 1, [s[i:j] for s in self.sides]])
-                flag[words.ravel()] = True
-                flag[0] = True
-                used = np.flatnonzero(flag)
-                flag[used] = False
-                used = used[np.argsort(hashes[used], kind="stable")]
-                place[used] = np.arange(len(used))
-                rows.append((o, self.b.number, squeeze_sorted(self.path[i:j]), squeeze(np.append(place[words].ravel(), self.leaves[i:j].astype(np.uint32))), squeeze_sorted(hashes[used])))
+        words = np.append(((self.words >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)[self.b.ids], np.uint32(0))
+        sides = (np.where(edge[self.at], 0, words[self.at - 1]), np.where(edge[self.at + self.window], 0, words[self.at + self.window]))
+        return [_only(x[self.order], self.cut).astype(np.uint32) for x in sides]
+
+    def ask_windows(self, owners: int, found: bool) -> pd.DataFrame:
+        """Each window once: hashes of its prefixes at the steps beyond the first, its leaves, and with
+        ``found`` the words beside it."""
+        steps = [(self.hashes[n][self.place] >> STEP_SHIFT).astype(np.uint32) for n in self.lengths[1:] or self.lengths]
+        columns = np.stack([*steps, self.leaves.astype(np.uint32), *(self.sides() if found else [])])
+        cut = np.searchsorted(owner(self.path, owners), np.arange(owners + 1))
+        rows = [(o, self.b.number, squeeze_sorted(self.path[i:j]), squeeze(columns[:, i:j].ravel()), None) for o, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
         return pd.DataFrame(rows, columns=[x.split()[0] for x in ASK.split(", ")])
 
 
@@ -185,30 +181,24 @@ def _only(x: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return np.where(low == high, low, 0)
 
 
-def subtrees(width: int):
+def subtrees(levels: int, found: bool):
     """For each window of an owner's groups: 0 if its node has one leaf, else four times its leaves, and 1
-    if it branches to the left, 2 if to the right. ``width``: words between the short prefix and the window's end."""
+    if it branches to the left, 2 if to the right (without ``found`` it is not known, and neither is said).
+    ``levels``: steps beyond the first."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         paths = [unsqueeze_sorted(k) for k in pdf["keys"]]
-        lists = [unsqueeze_sorted(b) for b in pdf["b"]]
-        number = np.unique(np.concatenate(lists))  # the first is 0: no only word
-        words, leaves = [], []
-        for path, known, raw in zip(paths, lists, pdf["a"], strict=True):
-            m = unsqueeze(raw, np.uint32).reshape(width + 3, len(path))
-            words.append(np.searchsorted(number, known).astype(np.uint32)[m[:-1]])
-            leaves.append(m[-1])
-        words, leaves, path = np.concatenate(words, axis=1), np.concatenate(leaves), np.concatenate(paths)
-        two = [words[k].astype(np.uint64) << np.uint64(32) | words[k + 1] if k + 1 < width else words[k] for k in range(0, width, 2)]
-        order = np.lexsort((*reversed(two), path))
-        words, path = words[:, order], path[order]
-        same = words[:width, 1:] == words[:width, :-1]
-        common = np.where(same.all(axis=0), width, np.argmin(same, axis=0)) if width else np.zeros(max(0, len(path) - 1), np.int64)
+        path = np.concatenate(paths)
+        columns = np.concatenate([unsqueeze(raw, np.uint32).reshape(-1, len(p)) for raw, p in zip(pdf["a"], paths, strict=True)], axis=1)
+        order = np.lexsort((*columns[:levels][::-1], path))
+        path, columns = path[order], columns[:, order]
+        same = columns[:levels, 1:] == columns[:levels, :-1]
+        common = np.where(same.all(axis=0), levels, np.argmin(same, axis=0))  # steps that neighbours share
         deep = np.ones(len(path), bool)  # where a node as deep as the window begins
-        deep[1:] = (path[1:] != path[:-1]) | (common < width)
+        deep[1:] = (path[1:] != path[:-1]) | (common < levels)
         cut, node = np.flatnonzero(deep), np.cumsum(deep) - 1
-        n = np.bincount(node, weights=leaves[order]).astype(np.uint32)
-        left, right = (_only(words[k], cut) == 0 for k in (width, width + 1))
+        n = np.bincount(node, weights=columns[levels]).astype(np.uint32)
+        left, right = ((_only(columns[levels + 1 + k], cut) == 0) if found else 0 for k in (0, 1))
         told = np.empty(len(path), np.uint32)
         told[order] = np.where(n >= 2, 4 * n + left + 2 * right, 0).astype(np.uint32)[node]
         return pd.DataFrame({"block": pdf["block"], "owner": pdf["owner"], "x": [squeeze(x) for x in np.split(told, np.cumsum([len(p) for p in paths])[:-1])], "y": None})
@@ -239,13 +229,13 @@ def _ask_longer(phase: int, lengths: list[int], bits: int, owners: int):
     return run
 
 
-def _ask_windows(lengths: list[int], bits: int, owners: int):
+def _ask_windows(lengths: list[int], bits: int, owners: int, found: bool):
     def run(key, left: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = [ask(0, np.zeros(0, np.uint64), owners)]
         for row in left.itertuples(index=False):
             s = _Suffixes(Block(row), lengths, bits)
             s.form(said)
-            out.append(s.ask_windows(owners))
+            out.append(s.ask_windows(owners, found))
         return pd.concat(out)
 
     return run
@@ -325,8 +315,8 @@ def substring_dedup(docs: DataFrame, window: int = 35, short: int = SHORT, group
         if not sums[1]:
             break
     owners = max(parts, -(-suffixes // OWNER_WINDOWS))
-    asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_ask_windows(lengths, bits, owners), ASK)
-    told = written(asked.groupBy("owner").applyInPandas(subtrees(lengths[-1] - lengths[0]), ANSWER).withColumn("phase", F.lit(WINDOWS)), "windows")
+    asked = own.groupBy("block").cogroup(said.groupBy("block")).applyInPandas(_ask_windows(lengths, bits, owners, found), ASK)
+    told = written(asked.groupBy("owner").applyInPandas(subtrees(max(1, len(lengths) - 1), found), ANSWER).withColumn("phase", F.lit(WINDOWS)), "windows")
     del asked
     free_shuffles(spark)
     return own.groupBy("block").cogroup(said.unionByName(told).groupBy("block")).applyInPandas(_remove(lengths, bits, found), REMOVED + FOUND * found)
@@ -334,3 +324,13 @@ def substring_dedup(docs: DataFrame, window: int = 35, short: int = SHORT, group
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), found=False)
+
+
+#: Words, their windows as texts, those that begin twice or more, and what isn't covered by one.
+OP4_SQL = """WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM w, unnest(generate_series(1, len(ws) - 34)) AS u(i)),
+t AS (SELECT h FROM p GROUP BY h HAVING count(*) > 1),
+g AS (SELECT DISTINCT r, i + k AS j FROM p SEMI JOIN t USING (h), unnest(generate_series(0, 34)) AS u(k)),
+o AS (SELECT r, j, ws[j] AS word FROM w, unnest(generate_series(1, len(ws))) AS u(j)),
+k AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM o ANTI JOIN g USING (r, j) GROUP BY r)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (r)"""
