@@ -42,8 +42,8 @@ def hamming(a: Column | str, b: Column | str, ambiguous: bool = True, same_lengt
     with ``same_length`` where lengths differ."""
     a, b = _c(a), _c(b)
     fits = (F.length(a) == F.length(b)) if same_length else (F.length(b) >= F.length(a))
-    at = F.sequence(F.lit(1), F.length(a))
-    miss = F.size(F.filter(at, lambda i: ~base_match(F.substring(a, i, F.lit(1)), F.substring(b, i, F.lit(1)), ambiguous)))
+    fit = F.zip_with(F.split(a, ""), F.split(F.left(b, F.length(a)), ""), lambda x, y: base_match(x, y, ambiguous))
+    miss = F.size(F.filter(fit, lambda ok: ~ok))
     return F.when(fits, F.when(F.length(a) == 0, F.lit(0)).otherwise(miss))
 
 

@@ -13,11 +13,19 @@ from locus.operators.intervals import KEYS, stab
 from locus.operators.motifs import nearby_loop
 
 
-def numbered_islands(cov: DataFrame, flank: int) -> DataFrame:
-    """cov with island, which grows along a strand: positions are in one if gaps are at most ``flank``."""
-    along = Window.partitionBy(*KEYS).orderBy("pos")
-    new = F.when(F.col("pos") - F.lag("pos").over(along) <= flank, 0).otherwise(1)
-    return cov.withColumn("__new", new).withColumn("island", F.sum("__new").over(along)).drop("__new")
+def numbered_islands(cov: DataFrame, flank: int, width: int = 4096) -> DataFrame:
+    """cov with island, which grows along a strand: positions are in one if gaps are at most ``flank``.
+
+    Gaps are found within bins of ``width`` positions, so that no task holds a strand; a row for each bin,
+    its first and last position and its number of gaps, carries the count along the strand."""
+    here = Window.partitionBy(*KEYS, "__bin").orderBy("pos")
+    new = F.when(F.col("pos") - F.lag("pos").over(here) > flank, 1).otherwise(0)
+    own = cov.withColumn("__bin", F.floor(F.col("pos") / width)).withColumn("__new", new).withColumn("__gaps", F.sum("__new").over(here)).drop("__new")
+    along = Window.partitionBy(*KEYS).orderBy("__bin")
+    each = own.groupBy(*KEYS, "__bin").agg(F.min("pos").alias("__first"), F.max("pos").alias("__last"), F.max("__gaps").alias("__all"))
+    each = each.withColumn("__begins", F.when(F.col("__first") - F.lag("__last").over(along) <= flank, 0).otherwise(1))
+    each = each.withColumn("__before", F.sum(F.col("__begins") + F.col("__all")).over(along) - F.col("__all")).select(*KEYS, "__bin", "__before")
+    return own.join(each, [*KEYS, "__bin"]).withColumn("island", F.col("__before") + F.col("__gaps")).drop("__bin", "__before", "__gaps")
 
 
 def islands(cov: DataFrame, flank: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locus.operators.intervals import KEYS, stab
+from locus.operators.intervals import KEYS, bins, stab
 
 SITE = ("chrom", "strand", "pos")
 
@@ -63,9 +63,12 @@ def _factor(query: DataFrame, reference: DataFrame, query_over_reference: bool)
 
 def upregulated_in_window(query: DataFrame, reference: DataFrame, window: int, min_fold: float, min_reads: float, floor: float = 0.01) -> DataFrame:
     """Positions of query whose reads over [pos - window, pos + window), scaled by the tracks' totals
-    (reference over query), are min_fold times those of reference, with min_reads at the position itself."""
-    near = Window.partitionBy(*KEYS).orderBy("pos").rangeBetween(-window, window - 1)
-    sums = _both(query, reference).select(*SITE, "q", F.coalesce(F.sum("q").over(near), F.lit(0.0)).alias("q_sum"), F.coalesce(F.sum("r").over(near), F.lit(0.0)).alias("r_sum")).filter("q IS NOT NULL")
+    (reference over query), are min_fold times those of reference, with min_reads at the position itself.
+    A task has a bin of positions, with those within ``window`` of it."""
+    near = Window.partitionBy(*KEYS, "__bin").orderBy("pos").rangeBetween(-window, window - 1)
+    both = _both(query, reference).withColumn("__bin", F.explode(bins(F.col("pos") - window, F.col("pos") + window, max(4096, 4 * window))))
+    sums = both.select(*SITE, "q", "__bin", F.coalesce(F.sum("q").over(near), F.lit(0.0)).alias("q_sum"), F.coalesce(F.sum("r").over(near), F.lit(0.0)).alias("r_sum"))
+    sums = sums.filter(F.col("q").isNotNull() & (F.col("__bin") == F.floor(F.col("pos") / max(4096, 4 * window)))).drop("__bin")
     fold = F.col("q_sum") * F.col("factor") / F.greatest("r_sum", F.lit(floor))
     return sums.crossJoin(F.broadcast(_factor(query, reference, False))).withColumn("fold", fold).filter((F.col("fold") >= min_fold) & (F.col("q") >= min_reads)).select(*SITE, F.col("q").alias("reads"), "fold")
 
@@ -125,10 +128,16 @@ def differential(values: DataFrame, key: str, length: Column, min_mean: float =
     )
 
 
-def smooth(rows: DataFrame, value: str, order: str, window: int, keys=()) -> DataFrame:
+def smooth(rows: DataFrame, value: str, order: str, window: int, keys=(), width: int = 4096) -> DataFrame:
     """The mean of the ``window`` values before each, itself and window - 1 after; the first and last
-    ``window`` values stay as they are."""
-    by = Window.partitionBy(*keys).orderBy(order)
-    n, i = F.count(F.lit(1)).over(Window.partitionBy(*keys)), F.row_number().over(by)
-    mean = F.avg(value).over(by.rowsBetween(-window, window - 1))
-    return rows.withColumn("smooth", F.when((i <= window) | (i > n - window), F.col(value)).otherwise(mean))
+    ``window`` values stay as they are. ``order`` is a whole number. Rows are numbered by bins of it, and a
+    task has a run of numbers with the ``window`` before and after it."""
+    width = max(width, 4 * window)
+    binned = rows.withColumn("__bin", F.floor(F.col(order) / width))
+    every, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    each = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__c")).select(*keys, "__bin", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"), F.sum("__c").over(every).alias("__n"))
+    i = F.col("__before") + F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy(order))
+    placed = binned.join(each, [*keys, "__bin"]).withColumn("__i", i).withColumn("__run", F.explode(bins(F.col("__i") - window, F.col("__i") + window, width)))
+    mean = F.avg(value).over(Window.partitionBy(*keys, "__run").orderBy("__i").rowsBetween(-window, window - 1))
+    out = placed.withColumn("smooth", F.when((F.col("__i") <= window) | (F.col("__i") > F.col("__n") - window), F.col(value)).otherwise(mean))
+    return out.filter(F.col("__run") == F.floor(F.col("__i") / width)).select(*rows.columns, "smooth")

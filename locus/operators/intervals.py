@@ -45,11 +45,15 @@ def overlaps(a: DataFrame, b: DataFrame, a_first: str, a_last: str, b_first: str
     return out.drop("__bin")
 
 
-def nearest_before(points: DataFrame, pos: str, starts: DataFrame, start: str, name: str, keys=KEYS) -> DataFrame:
-    """points with ``name``: the greatest start that isn't beyond the position, null without one. One sort of
-    both by position, whatever lies between them."""
+def nearest_before(points: DataFrame, pos: str, starts: DataFrame, start: str, name: str, keys=KEYS, width: int = 4096) -> DataFrame:
+    """points with ``name``: the greatest start that isn't beyond the position, null without one. Both are
+    sorted within bins of positions; a row for each bin carries the greatest start of those before it."""
     here = points.select(*keys, F.col(pos).alias("__p")).distinct().withColumns({"__k": F.lit(1), "__s": F.lit(None).cast("int")})
     there = starts.select(*keys, F.col(start).cast("int").alias("__p")).distinct().withColumns({"__k": F.lit(0), "__s": F.col("__p")})
-    along = Window.partitionBy(*keys).orderBy("__p", "__k").rowsBetween(Window.unboundedPreceding, 0)
-    found = here.unionByName(there).withColumn(name, F.last("__s", ignorenulls=True).over(along)).filter("__k = 1")
-    return points.join(found.select(*keys, F.col("__p").alias(pos), name), [*keys, pos], "left")
+    both = here.unionByName(there).withColumn("__bin", F.floor(F.col("__p") / width))
+    before = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    each = both.groupBy(*keys, "__bin").agg(F.max("__s").alias("__top")).select(*keys, "__bin", F.last("__top", ignorenulls=True).over(before).alias("__carried"))
+    along = Window.partitionBy(*keys, "__bin").orderBy("__p", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__own", F.last("__s", ignorenulls=True).over(along)).filter("__k = 1").join(each, [*keys, "__bin"])
+    found = found.select(*keys, F.col("__p").alias(pos), F.coalesce("__own", "__carried").alias(name))
+    return points.join(found, [*keys, pos], "left")

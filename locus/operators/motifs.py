@@ -64,11 +64,12 @@ def combine_motifs(a: DataFrame, b: DataFrame, union: bool = True, on=("chrom",
 
 
 def suppressed(rows: DataFrame, distance: int = 2, start: str = "start", end: str = "end", order: str = "ord") -> DataFrame:
-    """rows whose span, widened by ``distance``, meets that of no earlier row, suppressed ones too."""
+    """rows whose span, widened by ``distance``, meets that of no earlier row of its chromosome, suppressed
+    ones too. ``order`` is unique in a chromosome."""
     wide = rows.select("chrom", F.col(order).alias("__o"), (F.col(start) - distance).alias("__a"), (F.col(end) + distance - 1).alias("__b"))
-    first = wide.toDF("chrom", "__o1", "__a1", "__b1")
-    blocked = overlaps(first, wide, "__a1", "__b1", "__a", "__b", keys=("chrom",)).filter("__o < __o1").select(F.col("__o1").alias(order)).distinct()
-    return rows.join(blocked, order, "left_anti")
+    first = wide.select("chrom", F.struct("chrom", "__o").alias("__of"), F.col("__a").alias("__a1"), F.col("__b").alias("__b1"))
+    blocked = overlaps(first, wide, "__a1", "__b1", "__a", "__b", keys=("chrom",)).filter(F.col("__o") < F.col("__of.__o"))
+    return rows.join(blocked.select("__of.chrom", F.col("__of.__o").alias(order)).distinct(), ["chrom", order], "left_anti")
 
 
 def downstream_footprint(peaks: DataFrame, footprints: DataFrame, window: int, having: bool = True) -> DataFrame:

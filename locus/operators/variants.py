@@ -36,32 +36,43 @@ def combined(sources: list[DataFrame]) -> DataFrame:
     return kept.withColumn("calls_at_pos", F.count(F.lit(1)).over(Window.partitionBy("chrom", "pos")))
 
 
-def linked_chains(variants: DataFrame, max_gap: int = 5, max_members: int = 4) -> DataFrame:
-    """All chains of two or more variants in which the next starts less than ``max_gap`` after the end of the
-    one before (an overlap is less, too; some may be skipped): chrom, first, end, members, n_members and
-    truncated, whether a longer chain was left out because of ``max_members``. Their number grows
-    exponentially where variants are dense. ``variants`` is written once by the caller if it is dear.
-
-    A chain grows by a join on position bins: variants that may follow lie within the longest reference
-    allele and the gap of the end, as earlier positions are in no chain's future.
+def _islands(calls: DataFrame, max_gap: int, width: int = 4096) -> DataFrame:
+    """calls with island, the first position of the run that they are in: each starts less than ``max_gap``
+    after the furthest end before it. Runs are found by bins of positions; a row for each bin carries on."""
+    end = F.col("pos") + F.length("ref")
+    own = calls.withColumns({"__end": end, "__bin": F.floor(F.col("pos") / width)})
+    earlier = Window.partitionBy("chrom").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("chrom", "__bin").orderBy("pos")
+    reach = own.groupBy("chrom", "__bin").agg(F.max("__end").alias("__far")).select("chrom", "__bin", F.max("__far").over(earlier).alias("__far"))
+    own = own.join(reach, ["chrom", "__bin"]).withColumn("__far", F.greatest("__far", F.max("__end").over(here.rangeBetween(Window.unboundedPreceding, -1))))
+    begins = F.col("__far").isNull() | (F.col("pos") - F.col("__far") >= max_gap)
+    own = own.withColumn("__first", F.last(F.when(begins, F.col("pos")), ignorenulls=True).over(here.rangeBetween(Window.unboundedPreceding, 0)))
+    each = own.groupBy("chrom", "__bin").agg(F.max("__first").alias("__last")).select("chrom", "__bin", F.max("__last").over(earlier).alias("__last"))
+    return own.join(each, ["chrom", "__bin"]).withColumn("island", F.coalesce("__first", "__last")).drop("__bin", "__end", "__far", "__first", "__last")
+
+
+def linked_chains(variants: DataFrame, max_gap: int = 5, most_chains: int = 1_000_000) -> DataFrame:
+    """All chains of two or more variants, of any length, in which the next starts less than ``max_gap``
+    after the end of the one before (an overlap is less, too; some may be skipped): chrom, first, end,
+    members and n_members.
+
+    A chain lies within a run of close variants. A run's chains are made together, by adding its variants
+    one after another to all chains that they may follow. Where variants are dense their number grows
+    exponentially: a run with more than ``most_chains`` fails with its place, nothing is left out.
     """
-    calls = variants.select("chrom", "pos", "ref", "alt")
-    one = F.struct("pos", "ref", "alt")
-    chains = calls.select("chrom", F.col("pos").alias("first"), (F.col("pos") + F.length("ref")).alias("end"), F.col("pos").alias("last"), F.array(one).alias("members"))
-    width = 64
-    follow = calls.select(F.col("chrom").alias("__c"), F.col("pos").alias("__p"), F.col("ref").alias("__r"), F.col("alt").alias("__a"), F.floor(F.col("pos") / width).alias("__b"))
-    out = None
-    for n in range(2, max_members + 2):
-        reach = chains.withColumn("__b", F.explode(F.sequence(F.floor((F.col("last") + 1) / width), F.floor(F.greatest(F.col("last") + 1, F.col("end") + max_gap - 1) / width))))
-        on = (F.col("chrom") == F.col("__c")) & (reach["__b"] == follow["__b"]) & (F.col("__p") > F.col("last")) & (F.col("__p") - F.col("end") < max_gap)
-        joined = reach.join(follow, on)
-        if n > max_members:
-            longer = joined.select("chrom", "members").distinct().withColumn("truncated", F.lit(True))
-            break
-        chains = joined.select("chrom", "first", (F.col("__p") + F.length("__r")).alias("end"), F.col("__p").alias("last"), F.array_append("members", F.struct(F.col("__p").alias("pos"), F.col("__r").alias("ref"), F.col("__a").alias("alt"))).alias("members"))
-        out = chains if out is None else out.unionByName(chains)
-    out = out.drop("last").withColumn("n_members", F.size("members"))
-    return out.join(longer, ["chrom", "members"], "left").fillna(False, ["truncated"])
+    runs = _islands(variants.select("chrom", "pos", "ref", "alt"), max_gap)
+    runs = runs.groupBy("chrom", "island").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "alt"))).alias("x")).filter(F.size("x") > 1)
+    chain = lambda members, v: F.struct(members.alias("members"), (v["pos"] + F.length(v["ref"])).alias("end"), v["pos"].alias("last"))
+    kind = runs.select(F.array(chain(F.col("x"), F.col("x")[0])).alias("c")).schema["c"].dataType
+
+    def longer(chains: Column, v: Column) -> Column:
+        may = F.filter(chains, lambda c: (v["pos"] > c["last"]) & (v["pos"] - c["end"] < max_gap))
+        return F.concat(chains, F.transform(may, lambda c: chain(F.array_append(c["members"], v), v)), F.array(chain(F.array(v), v)))
+
+    checked = lambda chains: F.when(F.size(chains) > most_chains, F.raise_error(F.concat(F.lit(f"more than {most_chains} chains of linked variants at "), F.col("chrom"), F.lit(":"), F.col("island").cast("string"))).cast(kind)).otherwise(chains)
+    chains = F.aggregate("x", F.array().cast(kind), lambda chains, v: checked(longer(chains, v)))
+    made = runs.select("chrom", F.explode(F.filter(chains, lambda c: F.size(c["members"]) > 1)).alias("c"))
+    return made.select("chrom", F.col("c.members")[0]["pos"].alias("first"), "c.end", "c.members", F.size("c.members").alias("n_members"))
 
 
 def spliced(members: Column, ref: Column, first: Column) -> Column:
@@ -76,10 +87,10 @@ def spliced(members: Column, ref: Column, first: Column) -> Column:
     return F.aggregate(members, start, put)["seq"]
 
 
-def linked(genome: DataFrame, variants: DataFrame, max_gap: int = 5, max_members: int = 4) -> DataFrame:
+def linked(genome: DataFrame, variants: DataFrame, max_gap: int = 5) -> DataFrame:
     """Chains as one variant each: chrom, pos, ref, alt and members; of chains that come to the same call
     the one with fewest members stays."""
-    chains = linked_chains(variants, max_gap, max_members).join(genome.select("chrom", "seq"), "chrom")
+    chains = linked_chains(variants, max_gap).join(genome.select("chrom", "seq"), "chrom")
     ref = F.substring("seq", F.col("first").cast("int"), (F.col("end") - F.col("first")).cast("int"))
     made = chains.withColumn("ref", ref).select("chrom", F.col("first").alias("pos"), "ref", spliced(F.col("members"), F.col("ref"), F.col("first")).alias("alt"), "members")
     return made.groupBy(*CALL).agg(F.min_by("members", F.struct(F.size("members"), F.to_json("members"))).alias("members"))

@@ -66,7 +66,7 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
-    seq = F.translate(F.md5((F.col("l_partkey") % 50).cast("string")), *HEX_TO_BASE)
+    seq = F.translate(F.md5(F.col("l_partkey").cast("string")), *HEX_TO_BASE)
     return lines.select(F.col("l_returnflag").alias("sample"), seq.alias("seq"), F.concat(F.lit("q"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("qual"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ord"))
 
 
@@ -94,7 +94,7 @@ SQL = {
     "genome": f"SELECT concat('seq', cast(item_id AS varchar)) AS chrom, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '{LETTER_TO_BASE[0]}', '{LETTER_TO_BASE[1]}') AS seq FROM benchmark",
     "vhex": f"SELECT o_custkey, o_orderkey, translate(md5(cast(o_orderkey AS varchar)), '{HEX_TO_BASE[0]}', '{HEX_TO_BASE[1]}') AS hex FROM orders",
     "variant": f"SELECT {_CHROM.format('o_custkey')} AS chrom, cast(o_orderkey AS integer) AS pos, substring(hex, 1, cast(1 + o_orderkey % 4 AS integer)) AS ref, substring(hex, 9, cast(1 + o_orderkey % 3 AS integer)) AS alt, o_orderkey AS ord FROM vhex",
-    "reads": f"SELECT l_returnflag AS sample, translate(md5(cast(l_partkey % 50 AS varchar)), '{HEX_TO_BASE[0]}', '{HEX_TO_BASE[1]}') AS seq, concat('q', l_orderkey, '-', l_linenumber) AS qual, l_orderkey * 8 + l_linenumber AS ord FROM lineitem",
+    "reads": f"SELECT l_returnflag AS sample, translate(md5(cast(l_partkey AS varchar)), '{HEX_TO_BASE[0]}', '{HEX_TO_BASE[1]}') AS seq, concat('q', l_orderkey, '-', l_linenumber) AS qual, l_orderkey * 8 + l_linenumber AS ord FROM lineitem",
     "aln": f"SELECT l_returnflag AS sample, CASE WHEN l_suppkey % 10 = 0 THEN '*' ELSE {_CHROM.format('l_suppkey')} END AS chrom, cast(l_partkey % 100 AS integer) AS pos, cast(l_linenumber AS bigint) AS n, concat(cast(l_quantity AS integer), '=', CASE l_partkey % 3 WHEN 0 THEN concat(l_linenumber, 'I', cast(l_quantity AS integer), '=') WHEN 1 THEN concat(l_linenumber, 'D', cast(l_quantity AS integer), '=') ELSE concat(l_linenumber, 'X') END) AS cigar, l_orderkey * 8 + l_linenumber AS ord FROM lineitem",
 }
 _NEEDS = {"cov_r": ["samples"], "cov_a": ["samples"], "cov_n": ["samples"], "annotation": ["feature"], "atype": ["feature"], "variant": ["vhex"]}

@@ -218,8 +218,10 @@ def footprint_anti(spark, d):
     return _footprint(spark, d, False)
 
 
-@query(""", h AS (SELECT c.chrom, c.strand, c.pos, a.pos AS l, row_number() OVER (PARTITION BY c.chrom, c.strand, c.pos ORDER BY (a.pos >= c.pos) DESC, abs(a.pos - c.pos) DESC) AS k FROM cov_r c JOIN cov_n a ON a.chrom = c.chrom AND a.strand = c.strand AND a.pos BETWEEN c.pos - 50 AND c.pos + 50)
-SELECT c.chrom, c.strand, c.pos, h.l AS loop_pos FROM cov_r c LEFT JOIN (SELECT * FROM h WHERE k = 1) h USING (chrom, strand, pos)""", "cov_r", "cov_n")
+_NEAR_LOOP = """, hl AS (SELECT c.chrom, c.strand, c.pos, a.pos AS l, row_number() OVER (PARTITION BY c.chrom, c.strand, c.pos ORDER BY (a.pos >= c.pos) DESC, abs(a.pos - c.pos) DESC) AS k FROM cov_r c JOIN cov_n a ON a.chrom = c.chrom AND a.strand = c.strand AND a.pos BETWEEN c.pos - 50 AND c.pos + 50)"""
+
+
+@query(_NEAR_LOOP + " SELECT c.chrom, c.strand, c.pos, h.l AS loop_pos FROM cov_r c LEFT JOIN (SELECT * FROM hl WHERE k = 1) h USING (chrom, strand, pos)", "cov_r", "cov_n")
 def nearby_loop(spark, d):
     return motifs.nearby_loop(p.coverage(spark, d, "R").drop("reads"), p.coverage(spark, d, "N"), 50)
 
@@ -277,10 +279,11 @@ def base_match(spark, d):
     return one.crossJoin(one.select(F.col("a").alias("b"))).select("a", "b", sq.base_match("a", "b").alias("fits"))
 
 
-@query(" SELECT doc_id, (SELECT count(*) FROM unnest(generate_series(1, 20)) AS u(i) WHERE substring(seq, i, 1) <> substring(seq, i + 20, 1)) AS distance FROM dna WHERE length(seq) >= 40", "dna")
+@query(", h AS (SELECT doc_id, string_split(seq[1:length(seq) // 2], '') AS a, string_split(seq[length(seq) // 2 + 1:length(seq) // 2 * 2], '') AS b FROM dna) SELECT doc_id, len(list_filter(list_zip(a, b), lambda z: z[1] <> z[2])) AS distance FROM h", "dna")
 def hamming_distance(spark, d):
-    own = p.dna(spark, d).filter(F.length("seq") >= 40)
-    return own.select("doc_id", sq.hamming(F.substring("seq", 1, 20), F.substring("seq", 21, 20)).cast("long").alias("distance"))
+    """the first half of each sequence against the second."""
+    half = F.floor(F.length("seq") / 2).cast("int")
+    return p.dna(spark, d).select("doc_id", sq.hamming(F.substring("seq", F.lit(1), half), F.substring("seq", half + 1, half)).cast("long").alias("distance"))
 
 
 @query(" SELECT doc_id, contains(seq, 'TTTT') AS t_run, contains(seq, 'GGATCC') OR contains(seq, 'GAATTC') AS has_site FROM dna", "dna")
@@ -299,9 +302,10 @@ def gff_attributes(spark, d):
     return p.read(spark, d, "part").select("p_partkey", sq.gff_attribute(t, "ID").alias("id"), sq.gff_attribute(t, "Name").alias("closed_name"), sq.gff_attribute(t, "Name", closed=False).alias("open_name"))
 
 
-@query(" SELECT doc_id, length(regexp_extract(substring(seq, 12), '^A*')) AS forward, length(regexp_extract(substring(seq, 1, 10), 'T*$')) AS backward FROM dna", "dna")
+@query(" SELECT doc_id, length(regexp_extract(substring(seq, length(seq) // 2 + 2), '^A*')) AS forward, length(regexp_extract(substring(seq, 1, length(seq) // 2), 'T*$')) AS backward FROM dna", "dna")
 def adenosine_runs(spark, d):
-    at = F.lit(10)
+    """from the middle of each sequence."""
+    at = F.floor(F.length("seq") / 2).cast("int")
     return p.dna(spark, d).select("doc_id", sq.run_length("seq", at, "A").cast("long").alias("forward"), sq.run_length("seq", at, "T", False).cast("long").alias("backward"))
 
 
@@ -331,10 +335,10 @@ def motif_variant_counts(spark, d):
 
 
 def _spans(spark, d):
-    return p.genome(spark, d).select("chrom", F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - 30, F.lit(0)), F.lit(40))).alias("start")).withColumn("end", F.col("start") + 30)
+    return p.genome(spark, d).select("chrom", F.length("seq").alias("__n"), F.explode(F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(30))).alias("start")).withColumn("end", F.least(F.col("start") + 30, F.col("__n"))).drop("__n")
 
 
-@query(", sp AS (SELECT chrom, i AS start, i + 30 AS stop, substring(seq, i + 1, 30) AS s FROM genome, unnest(generate_series(0, greatest(length(seq) - 30, 0), 40)) AS u(i)), w AS (SELECT chrom, start, stop, o, substring(s, o + 1, 6) AS k FROM sp, unnest(generate_series(0, length(s) - 7)) AS v(o) WHERE length(s) > 6), b AS (SELECT chrom, start, stop, o, 0 AS side, k, "
+@query(", sp AS (SELECT chrom, i AS start, least(i + 30, length(seq)) AS stop, substring(seq, i + 1, 30) AS s FROM genome, unnest(generate_series(0, greatest(length(seq) - 1, 0), 30)) AS u(i)), w AS (SELECT chrom, start, stop, o, substring(s, o + 1, 6) AS k FROM sp, unnest(generate_series(0, length(s) - 7)) AS v(o) WHERE length(s) > 6), b AS (SELECT chrom, start, stop, o, 0 AS side, k, "
        + _HITS("ACRTNG", "k") + " AS mm FROM w UNION ALL SELECT chrom, start, stop, o, 1, translate(reverse(k), 'ACGT', 'TGCA'), " + _HITS("ACRTNG", "translate(reverse(k), 'ACGT', 'TGCA')") + """ FROM w), r AS (SELECT *, row_number() OVER (PARTITION BY chrom, start ORDER BY mm, o, side) AS n FROM b)
 SELECT chrom, start, stop AS "end", start + o AS mstart, start + o + 6 AS mend, CASE side WHEN 0 THEN '+' ELSE '-' END AS strand, k AS match, mm AS mismatches FROM r WHERE n = 1 AND mm <= 2""", "genome")
 def best_motif(spark, d):
@@ -360,11 +364,10 @@ def motif_intersection(spark, d):
     return motifs.combine_motifs(*_two(spark, d), union=False, on=("chrom", "mstart"))
 
 
-@query(", r AS (SELECT *, row_number() OVER (ORDER BY chrom, strand, pos) AS ord FROM cov_r WHERE reads >= 60) SELECT ord, chrom, pos FROM r a WHERE NOT EXISTS (SELECT 1 FROM r b WHERE b.chrom = a.chrom AND b.ord < a.ord AND b.pos - 2 < a.pos + 3 AND a.pos - 2 < b.pos + 3)", "cov_r")
+@query(", r AS (SELECT *, cast(pos AS bigint) + CASE strand WHEN '-' THEN 10000000000 ELSE 0 END AS ord FROM cov_r) SELECT ord, chrom, pos FROM r a WHERE NOT EXISTS (SELECT 1 FROM r b WHERE b.chrom = a.chrom AND b.ord < a.ord AND b.pos - 2 < a.pos + 3 AND a.pos - 2 < b.pos + 3)", "cov_r")
 def suppress_near_motifs(spark, d):
-    from pyspark.sql import Window
-
-    rows = p.coverage(spark, d, "R").filter("reads >= 60").withColumn("ord", F.row_number().over(Window.orderBy("chrom", "strand", "pos")))
+    """K3: in the order of strands and positions."""
+    rows = p.coverage(spark, d, "R").withColumn("ord", F.col("pos").cast("long") + F.when(F.col("strand") == "-", F.lit(10_000_000_000)).otherwise(F.lit(0)))
     rows = rows.withColumns({"start": F.col("pos"), "end": F.col("pos") + 1})
     return motifs.suppressed(rows).select(F.col("ord").cast("long").alias("ord"), "chrom", "pos")
 
@@ -388,19 +391,19 @@ def variant_clean(spark, d):
     return variants.cleaned(p.variants(spark, d)).withColumn("pos", F.col("pos").cast("long"))
 
 
-@query(", u AS (SELECT chrom, pos, ref, alt, 0 AS source_ord, ord FROM variant WHERE ord % 3 <> 0 UNION ALL SELECT chrom, pos, ref, alt, 1, ord FROM variant WHERE ord % 2 = 0 UNION ALL SELECT chrom, pos, concat(ref, 'A'), alt, 1, ord FROM variant WHERE ord % 5 = 0), k AS (SELECT chrom, pos, ref, alt, min(source_ord * 1000000000 + ord) AS x FROM u GROUP BY ALL) SELECT chrom, pos, ref, alt, cast(x // 1000000000 AS integer) AS source_ord, x % 1000000000 AS ord, count(*) OVER (PARTITION BY chrom, pos) AS calls_at_pos FROM k", "variant")
+@query(", u AS (SELECT chrom, pos, ref, alt, 0 AS source_ord, ord FROM variant UNION ALL SELECT chrom, pos, ref, alt, 1, ord FROM variant UNION ALL SELECT chrom, pos, concat(ref, 'A'), alt, 1, ord FROM variant), k AS (SELECT chrom, pos, ref, alt, min(source_ord * 1000000000 + ord) AS x FROM u GROUP BY ALL) SELECT chrom, pos, ref, alt, cast(x // 1000000000 AS integer) AS source_ord, x % 1000000000 AS ord, count(*) OVER (PARTITION BY chrom, pos) AS calls_at_pos FROM k", "variant")
 def variant_combine(spark, d):
+    """All variants, and a second source of the same and of longer ones."""
     v = p.variants(spark, d)
-    other = v.filter("ord % 2 = 0").unionByName(v.filter("ord % 5 = 0").withColumn("ref", F.concat("ref", F.lit("A"))))
-    return variants.combined([v.filter("ord % 3 <> 0"), other])
+    return variants.combined([v, v.unionByName(v.withColumn("ref", F.concat("ref", F.lit("A"))))])
 
 
-@query(""", v AS (SELECT chrom, cast(pos // 3 AS integer) AS pos, ref, alt FROM variant), r AS (SELECT chrom, pos AS first, pos + length(ref) AS stop, pos AS last, [concat(pos, ref, '>', alt)] AS m, 1 AS n FROM v
-UNION ALL SELECT r.chrom, r.first, v.pos + length(v.ref), v.pos, list_append(r.m, concat(v.pos, v.ref, '>', v.alt)), r.n + 1 FROM r JOIN v ON v.chrom = r.chrom AND v.pos > r.last AND v.pos - r.stop < 5 WHERE r.n < 4)
+@query(""", r AS (SELECT chrom, pos AS first, pos + length(ref) AS stop, pos AS last, [concat(pos, ref, '>', alt)] AS m, 1 AS n FROM variant
+UNION ALL SELECT r.chrom, r.first, v.pos + length(v.ref), v.pos, list_append(r.m, concat(v.pos, v.ref, '>', v.alt)), r.n + 1 FROM r JOIN variant v ON v.chrom = r.chrom AND v.pos > r.last AND v.pos - r.stop < 5)
 SELECT chrom, first, stop AS "end", array_to_string(m, ',') AS members, n AS n_members FROM r WHERE n > 1""", "variant")
 def link_variants(spark, d):
-    v = p.variants(spark, d).withColumn("pos", F.floor(F.col("pos") / 3).cast("int"))
-    chains = variants.linked_chains(v)
+    """V2: chains of any length."""
+    chains = variants.linked_chains(p.variants(spark, d))
     members = F.array_join(F.transform("members", lambda m: F.concat(m["pos"].cast("string"), m["ref"], F.lit(">"), m["alt"])), ",")
     return chains.select("chrom", "first", F.col("end").cast("long").alias("end"), members.alias("members"), "n_members")
 
@@ -509,20 +512,64 @@ def syn_changes_cas12a(spark, d):
 # ---- what SQL can't say: order-dependent growth and alignment -----------------------------------------------
 
 
-@query()
-def upregulated_clusters(spark, d):
+#: Width by signal of the clusters in xa (p and v: positions and reads inside), trimmed step by step from the weaker side.
+_WIDTH = """,
+xs AS (SELECT chrom, strand, seed, p, v, total, 1::BIGINT AS i, len(p) AS j, 0::DOUBLE AS l, 0::DOUBLE AS r, cstart::BIGINT AS lo, cend::BIGINT AS hi, 1::BIGINT AS d FROM xa
+UNION ALL SELECT chrom, strand, seed, p, v, total, i2, j2, l2, r2, lo2, hi2, d + CASE WHEN (l2 + r2) / total >= 1::DOUBLE - 0.8::DOUBLE THEN len(list_filter(p, lambda x: x >= lo2 AND x <= hi2)) ELSE 0 END
+FROM (SELECT *, CASE WHEN b THEN i ELSE i + 1 END AS i2, CASE WHEN b THEN j - 1 ELSE j END AS j2, CASE WHEN b THEN l ELSE l + v[i] END AS l2, CASE WHEN b THEN r + v[j] ELSE r END AS r2, greatest(lo, p[i]) + CASE WHEN b THEN 0 ELSE 1 END AS lo2, least(hi, p[j]) - CASE WHEN b THEN 1 ELSE 0 END AS hi2
+FROM (SELECT *, v[j] + r < v[i] + l AS b FROM xs WHERE i <= j AND (l + r) / total <= 1::DOUBLE - 0.8::DOUBLE))),
+xw AS (SELECT chrom, strand, seed, p[list_position(v, list_max(v))] AS peak_pos, list_max(v) AS peak_reads, (hi - lo)::INTEGER AS width, d::INTEGER AS n_distinct FROM xs WHERE NOT (i <= j AND (l + r) / total <= 1::DOUBLE - 0.8::DOUBLE))
+"""
+_SITES = _ISLANDS + """,
+xa AS (SELECT chrom, strand, min(pos) AS seed, list(pos ORDER BY pos) AS p, list(reads ORDER BY pos) AS v, min(pos) AS cstart, CASE WHEN count(*) = 1 THEN min(pos) + 1 ELSE max(pos) END AS cend, sum(reads) AS total, count(*)::INTEGER AS n_sites FROM i GROUP BY chrom, strand, island)""" + _WIDTH + """,
+site AS (SELECT chrom, strand, seed, cstart, cend, total AS cluster_reads, n_sites, peak_pos, peak_reads, width, n_distinct FROM xa JOIN xw USING (chrom, strand, seed))
+"""
+#: Growth from upregulated positions: how far each could grow on its own, then one after another along the island.
+_GROWN = _CLASSES.replace(", s AS", ", cs AS").replace("FROM s WHERE", "FROM cs WHERE") + _ISLANDS + """,
+n AS (SELECT i.chrom, i.strand, i.island, i.pos, i.reads, row_number() OVER (PARTITION BY i.chrom, i.strand, i.island ORDER BY i.pos) AS x, k.pos IS NOT NULL AS up FROM i LEFT JOIN (SELECT * FROM k WHERE class = 'up') k USING (chrom, strand, pos)),
+h AS (SELECT chrom, strand, island, max(pos) FILTER (up) AS last_up, max(x) AS top FROM n GROUP BY ALL HAVING bool_or(up)),
+pr AS (SELECT a.chrom, a.strand, a.island, a.x AS sx, a.pos AS seed, b.x AS bx, b.pos AS bpos, least(a.pos, b.pos) AS f, greatest(a.pos, b.pos) AS e FROM n a JOIN n b USING (chrom, strand, island) WHERE a.up AND a.x <> b.x),
+qs AS (SELECT pr.*, sum(n.reads) AS q FROM pr JOIN n ON n.chrom = pr.chrom AND n.strand = pr.strand AND n.island = pr.island AND n.pos >= f AND n.pos < e GROUP BY ALL),
+rs AS (SELECT qs.*, coalesce(sum(a.reads), 0) AS r FROM qs LEFT JOIN cov_a a ON a.chrom = qs.chrom AND a.strand = qs.strand AND a.pos >= f AND a.pos < e GROUP BY ALL),
+en AS (SELECT n.chrom, n.strand, n.island, n.x AS sx, n.pos AS seed, h.top, coalesce(max(rs.bx) FILTER (rs.bx < n.x AND NOT (rs.bpos >= 1 AND rs.q / greatest(rs.r, 0.01) >= 1.5)), 0) AS l, coalesce(min(rs.bx) FILTER (rs.bx > n.x AND NOT (rs.bpos <= h.last_up AND rs.q / greatest(rs.r, 0.01) >= 1.5)), any_value(h.top) + 1) AS r
+  FROM n JOIN h USING (chrom, strand, island) LEFT JOIN rs ON rs.chrom = n.chrom AND rs.strand = n.strand AND rs.island = n.island AND rs.sx = n.x WHERE n.up GROUP BY ALL),
+fl AS (SELECT chrom, strand, island, list({'sx': sx, 'l': l, 'r': r, 'seed': seed} ORDER BY sx) AS z FROM en GROUP BY ALL),
+cl AS (SELECT chrom, strand, island, z, z[1] AS y, z[1].l + 1 AS lo, z[1].r - 1 AS hi FROM fl
+UNION ALL SELECT chrom, strand, island, z, y2, greatest(y2.l, hi) + 1, y2.r - 1 FROM (SELECT *, list_filter(z, lambda q: q.sx > hi)[1] AS y2 FROM cl) WHERE y2 IS NOT NULL),
+de AS (SELECT cl.chrom, cl.strand, cl.island, cl.y.seed AS seed, min(n.pos) AS cstart, CASE WHEN cl.hi = cl.y.sx THEN cl.y.seed + 1 ELSE max(n.pos) END AS cend, sum(n.reads) AS total, count(*)::INTEGER AS n_sites FROM cl JOIN n ON n.chrom = cl.chrom AND n.strand = cl.strand AND n.island = cl.island AND n.x BETWEEN cl.lo AND cl.hi GROUP BY cl.chrom, cl.strand, cl.island, cl.y, cl.hi),
+xa AS (SELECT de.chrom, de.strand, de.seed, de.cstart, de.cend, de.total, de.n_sites, list(n.pos ORDER BY n.pos) AS p, list(n.reads ORDER BY n.pos) AS v, coalesce(sum(n.reads) FILTER (n.pos < cend), 0) AS qf, coalesce(sum(n.pos * n.reads) FILTER (n.up AND n.pos < cend) / sum(n.reads) FILTER (n.up AND n.pos < cend), 0) AS com
+  FROM de JOIN n ON n.chrom = de.chrom AND n.strand = de.strand AND n.island = de.island AND n.pos BETWEEN cstart AND cend GROUP BY de.chrom, de.strand, de.seed, de.cstart, de.cend, de.total, de.n_sites)""" + _WIDTH + """,
+rf AS (SELECT xa.chrom, xa.strand, xa.seed, coalesce(sum(a.reads), 0) AS rf FROM xa LEFT JOIN cov_a a ON a.chrom = xa.chrom AND a.strand = xa.strand AND a.pos >= cstart AND a.pos < cend GROUP BY ALL),
+grown AS (SELECT chrom, strand, seed, cstart, cend, total AS cluster_reads, n_sites, peak_pos, peak_reads, width, n_distinct, round(qf / greatest(rf, 1), 6) AS fold, round(com, 6) AS center_of_mass FROM xa JOIN xw USING (chrom, strand, seed) JOIN rf USING (chrom, strand, seed))
+"""
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def _grown_clusters(spark, d):
     q, r = p.coverage(spark, d, "R"), p.coverage(spark, d, "A")
     return clusters.upregulated_clusters(q, r, coverage.upregulated(q, r, 2, 5), 3, 1.5)
 
 
-@query()
+@query(_GROWN + "SELECT * FROM grown", "cov_r", "cov_a")
+def upregulated_clusters(spark, d):
+    """W5, W6, W8."""
+    return _rounded(_grown_clusters(spark, d), "fold", "center_of_mass")
+
+
+@query(_GROWN + """, q2 AS (SELECT g.chrom, g.strand, g.seed, coalesce(sum(c.reads), 0) AS q FROM grown g LEFT JOIN cov_n c ON c.chrom = g.chrom AND c.strand = g.strand AND c.pos BETWEEN peak_pos - 20 AND peak_pos + 19 GROUP BY ALL),
+r2 AS (SELECT g.chrom, g.strand, g.seed, coalesce(sum(c.reads), 0) AS r FROM grown g LEFT JOIN cov_a c ON c.chrom = g.chrom AND c.strand = g.strand AND c.pos BETWEEN peak_pos - 20 AND peak_pos + 19 GROUP BY ALL)
+SELECT grown.*, round(q2.q / greatest(r2.r, 0.1), 6) AS second_fold FROM grown JOIN q2 USING (chrom, strand, seed) JOIN r2 USING (chrom, strand, seed)""", "cov_r", "cov_a", "cov_n")
 def two_reference_clusters(spark, d):
-    q, r = p.coverage(spark, d, "R"), p.coverage(spark, d, "A")
-    return clusters.with_second_fold(clusters.upregulated_clusters(q, r, coverage.upregulated(q, r, 2, 5), 3, 1.5), p.coverage(spark, d, "N"), r)
+    """W9."""
+    return _rounded(clusters.with_second_fold(_grown_clusters(spark, d), p.coverage(spark, d, "N"), p.coverage(spark, d, "A")), "fold", "center_of_mass", "second_fold")
 
 
-@query()
+@query(_SITES + "SELECT * FROM site", "cov_r")
 def site_clusters(spark, d):
+    """W7."""
     return clusters.site_clusters(p.coverage(spark, d, "R"), 3)
 
 
@@ -533,23 +580,24 @@ def signal_near_motifs(spark, d):
 
 
 def _pairs(spark, d):
-    g = p.genome(spark, d).filter(F.length("seq") >= 80)
-    return g.select("chrom", F.substring("seq", 11, 60).alias("donor"), F.concat(F.substring("seq", 21, 9), F.lit("A"), F.substring("seq", 31, 13)).alias("guide"))
+    """Donors of up to 60 bases that tile each sequence, each with a guide made from its tenth to its thirty-first base."""
+    tile = p.genome(spark, d).withColumn("start", F.explode(F.sequence(F.lit(1), F.greatest(F.length("seq"), F.lit(1)), F.lit(60)))).withColumn("donor", F.substring("seq", F.col("start"), F.lit(60)))
+    return tile.select("chrom", "start", "donor", F.concat(F.substring("donor", 11, 9), F.lit("A"), F.substring("donor", 21, 13)).alias("guide")).filter(F.length("donor") > 0)
 
 
 @query()
 def fitting_alignment(spark, d):
-    return _pairs(spark, d).select("chrom", al.fitting_column(F.col("donor"), F.col("guide")).alias("a")).select("chrom", "a.*")
+    return _pairs(spark, d).select("chrom", "start", al.fitting_column(F.col("donor"), F.col("guide")).alias("a")).select("chrom", "start", "a.*")
 
 
 @query()
 def disruption_score(spark, d):
-    return _pairs(spark, d).select("chrom", al.disruption_column(F.col("donor"), F.col("guide"), F.lit("NGG")).alias("a")).select("chrom", "a.*")
+    return _pairs(spark, d).select("chrom", "start", al.disruption_column(F.col("donor"), F.col("guide"), F.lit("NGG")).alias("a")).select("chrom", "start", "a.*")
 
 
 @query()
 def edit_distance(spark, d):
-    return _pairs(spark, d).select("chrom", al.edit_distance_column(F.col("donor"), F.col("guide")).alias("distance"))
+    return _pairs(spark, d).select("chrom", "start", al.edit_distance_column(F.col("donor"), F.col("guide")).alias("distance"))
 
 
 # ---- guides and donors ------------------------------------------------------------------------------------
@@ -674,7 +722,7 @@ def substitution_oligos(spark, d):
 
 @query()
 def disrupted_literally(spark, d):
-    return _pairs(spark, d).select("chrom", guides.disrupted_literally(F.substring("guide", 1, 20), F.col("donor"), F.concat(F.col("guide"), F.col("donor"))).alias("disrupted"))
+    return _pairs(spark, d).select("chrom", "start", guides.disrupted_literally(F.substring("guide", 1, 20), F.col("donor"), F.concat(F.col("guide"), F.col("donor"))).alias("disrupted"))
 
 
 @query(", c AS (SELECT unnest(['" + "', '".join(orfs.genetic_code()) + "']) AS codon), k AS (SELECT codon, (" + _CODE + """)[codon] AS aa, row_number() OVER () AS ord FROM c), x AS (SELECT a.codon, b.codon AS other, b.ord, (substring(a.codon, 1, 1) <> substring(b.codon, 1, 1))::INTEGER + (substring(a.codon, 2, 1) <> substring(b.codon, 2, 1))::INTEGER + (substring(a.codon, 3, 1) <> substring(b.codon, 3, 1))::INTEGER AS d FROM k a JOIN k b USING (aa))
@@ -692,22 +740,32 @@ def motif_sites(spark, d):
     return out.withColumns({c: F.col(c).cast("long") for c in ("mstart", "mend")})
 
 
-@query(_STAB.format("=") + _STAB.format("<>").replace(", s AS", ", z AS") + _PRIO.replace(", t AS", ", t AS", 1) + """ SELECT c.chrom, c.strand, c.pos, k.type AS annotation_type, coalesce(s.gene_name, z.gene_name, 'intergenic') AS gene_name, coalesce(s.gene_id, z.gene_id, 'intergenic') AS gene_id, CASE WHEN s.k IS NULL AND z.k IS NOT NULL THEN 'antisense' ELSE 'sense' END AS sense
-FROM t c JOIN k ON k.k = c.k LEFT JOIN (SELECT * FROM s WHERE k = 1) s ON s.chrom = c.chrom AND s.strand = c.strand AND s.pos = c.pos LEFT JOIN (SELECT * FROM z WHERE k = 1) z ON z.chrom = c.chrom AND z.strand = c.strand AND z.pos = c.pos""", "cov_r", "annotation", "atype")
+#: Type by priority, gene and sense at each position of cov_r.
+_GENE = _STAB.format("=").replace(", s AS", ", gs AS") + _STAB.format("<>").replace(", s AS", ", gz AS") + _PRIO.replace(", t AS", ", gt AS").replace("\nk AS", "\ngk AS") + """, gene AS (SELECT c.chrom, c.strand, c.pos, gk.type AS annotation_type, coalesce(s.gene_name, z.gene_name, 'intergenic') AS gene_name, coalesce(s.gene_id, z.gene_id, 'intergenic') AS gene_id, CASE WHEN s.k IS NULL AND z.k IS NOT NULL THEN 'antisense' ELSE 'sense' END AS sense
+FROM gt c JOIN gk ON gk.k = c.k LEFT JOIN (SELECT * FROM gs WHERE k = 1) s ON s.chrom = c.chrom AND s.strand = c.strand AND s.pos = c.pos LEFT JOIN (SELECT * FROM gz WHERE k = 1) z ON z.chrom = c.chrom AND z.strand = c.strand AND z.pos = c.pos)
+"""
+
+
+@query(_GENE + "SELECT * FROM gene", "cov_r", "annotation", "atype")
 def type_and_gene(spark, d):
     return annotate.type_and_gene(p.coverage(spark, d, "R").drop("reads"), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
 
 
-@query()
+
+_AT_PEAK = " SELECT c.*, g.annotation_type, g.gene_name, g.gene_id, g.sense FROM {0} c JOIN gene g ON g.chrom = c.chrom AND g.strand = c.strand AND g.pos = c.peak_pos"
+
+
+@query(_GROWN + _GENE + _AT_PEAK.format("grown"), "cov_r", "cov_a", "annotation", "atype")
 def annotated_upregulated_clusters(spark, d):
-    return clusters.annotated_clusters(upregulated_clusters(spark, d), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
+    return _rounded(clusters.annotated_clusters(_grown_clusters(spark, d), p.types(spark, d), p.annotations(spark, d), PRIORITIES), "fold", "center_of_mass")
 
 
-@query()
+@query(_SITES + _GENE + _AT_PEAK.format("site"), "cov_r", "annotation", "atype")
 def annotated_site_clusters(spark, d):
     return clusters.annotated_clusters(site_clusters(spark, d), p.types(spark, d), p.annotations(spark, d), PRIORITIES)
 
 
-@query()
+@query(_SITES + _GENE + _NEAR_LOOP + " SELECT c.*, g.annotation_type, g.gene_name, g.gene_id, g.sense, hl.l AS loop_pos, hl.l - c.seed AS loop_distance FROM site c JOIN gene g ON g.chrom = c.chrom AND g.strand = c.strand AND g.pos = c.seed LEFT JOIN hl ON hl.chrom = c.chrom AND hl.strand = c.strand AND hl.pos = c.seed AND hl.k = 1", "cov_r", "cov_n", "annotation", "atype")
 def loop_clusters(spark, d):
+    """W10."""
     return clusters.loop_clusters(p.coverage(spark, d, "R"), p.coverage(spark, d, "N"), p.types(spark, d), p.annotations(spark, d), PRIORITIES, 3, reach=50)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from locus.operators import annotate, clusters, coverage, donors, guides, metagene, motifs, orfs, reads, variants
-from locus.operators.intervals import overlaps, stab
+from locus.operators.intervals import nearest_before, overlaps, stab
 
 COV = "chrom string, strand string, pos int, reads double"
 
@@ -367,15 +367,64 @@ def test_chains_and_splicing(spark):
     seq = "ACGTACGTACGTACGTACGTACGTACGTACGTACGT"
     calls = [(3, "G", "T"), (5, "AC", "A"), (5, "A", "G"), (9, "A", "ATT"), (30, "C", "G")]
     v = spark.createDataFrame([("c", p, r, a, i) for i, (p, r, a) in enumerate(calls)], CALLS)
-    got = sorted(tuple(m.pos for m in r.members) for r in variants.linked_chains(v, 5, 4).collect())
+    got = sorted(tuple(m.pos for m in r.members) for r in variants.linked_chains(v, 5).collect())
     assert got == chains(calls, 5)
-    cut = variants.linked_chains(v, 5, 2)
-    assert {tuple(m.pos for m in r.members): r.truncated for r in cut.collect()}[3, 5] is True
     one = spark.createDataFrame([("c", 3, "G", "T", 0), ("c", 5, "AC", "A", 1), ("c", 9, "A", "ATT", 2)], CALLS)
     got = {(r.pos, r.ref): r.alt for r in variants.linked(spark.createDataFrame([("c", seq)], "chrom string, seq string"), one).collect()}
     assert got[3, "GTACGTA"] in ("TTAGTATT", "TTACGTATT") and got[3, "GTAC"] == "TTA" and got[5, "ACGTA"] == "AGTATT"
 
 
+def test_chains_of_any_length_over_bins(spark):
+    rng = random.Random(4)
+    calls = sorted({(p, "ACGTACGT"[: rng.choice((1, 1, 2, 5))], "T") for p in [*(4090 + 4 * i for i in range(9)), *rng.sample(range(1, 20_000), 1500)]} | {(8000, "A" * 300, "T"), (8299, "C", "T")})
+    v = spark.createDataFrame([("c", p, r, a, i) for i, (p, r, a) in enumerate(calls)], CALLS)
+    got = sorted(tuple(m.pos for m in r.members) for r in variants.linked_chains(v, 5).collect())
+    assert got == chains(calls, 5) and max(map(len, got)) >= 9
+
+
+def test_too_many_chains_fail_and_say_where(spark):
+    v = spark.createDataFrame([("c", 100 + i, "A", "T", i) for i in range(12)], CALLS)
+    assert variants.linked_chains(v, 13, 5000).count() == 2**12 - 1 - 12
+    with pytest.raises(Exception, match="more than 4000 chains of linked variants at c:100"):
+        variants.linked_chains(v, 13, 4000).count()
+
+
+def test_bins_change_nothing(spark):
+    """Islands, smoothing, window sums and nearest starts over several bins, against plain windows."""
+    rng = random.Random(5)
+    sites = [(c, s, p, float(rng.randrange(1, 9))) for c in "ab" for s in "+-" for p in rng.sample(range(30_000), 900)]
+    cov = spark.createDataFrame([x for x in sites if x[3] < 8], "chrom string, strand string, pos int, reads double")
+    by = {}
+    for c, s, p, v in sorted(x for x in sites if x[3] < 8):
+        by.setdefault((c, s), []).append((p, v))
+    want = []
+    for (c, s), x in by.items():
+        n = 0
+        for k, (p, _) in enumerate(x):
+            n += k == 0 or p - x[k - 1][0] > 40
+            want.append((c, s, p, n))
+    assert rows(clusters.numbered_islands(cov, 40, 64), "chrom", "strand", "pos", "island") == sorted(want)
+    mean = [(c, s, p, v if k < 6 or k >= len(x) - 6 else round(sum(y for _, y in x[k - 6 : k + 6]) / 12, 9)) for (c, s), x in by.items() for k, (p, v) in enumerate(x)]
+    got = coverage.smooth(cov, "reads", "pos", 6, ["chrom", "strand"], 32)
+    assert rows(got.withColumn("smooth", F.round("smooth", 9)), "chrom", "strand", "pos", "smooth") == sorted(mean)
+    ref = cov.withColumn("reads", F.lit(1.0))
+    q, r = sum(v for x in by.values() for _, v in x), sum(len(x) for x in by.values())
+    up = []
+    for (c, s), x in by.items():
+        for p, v in x:
+            near = [y for z, y in x if p - 50 <= z < p + 50]
+            fold = sum(near) * (r / q) / len(near)
+            if fold >= 1.1 and v >= 3:
+                up.append((c, s, p, v, round(fold, 6)))
+    got = coverage.upregulated_in_window(cov, ref, 50, 1.1, 3)
+    assert rows(got.withColumn("fold", F.round("fold", 6)), "chrom", "strand", "pos", "reads", "fold") == sorted(up) and up
+    starts = cov.filter("reads = 7")
+    first = {k: [p for p, v in x if v == 7] for k, x in by.items()}
+    want = [(c, s, p, max((z for z in first[c, s] if z <= p), default=-1)) for (c, s), x in by.items() for p, _ in x]
+    got = nearest_before(cov.select("chrom", "strand", "pos"), "pos", starts, "pos", "at", width=64).fillna(-1, ["at"])
+    assert rows(got, "chrom", "strand", "pos", "at") == sorted(want)
+
+
 # ---- reads ------------------------------------------------------------------------------------------------
 
 
