@@ -21,7 +21,8 @@ def _both(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """v and root (the smallest vertex of its component) for every vertex of edges (u, v: bigint) that
-    isn't a root itself. Loops and repeated edges don't matter; null ends are ignored."""
+    isn't a root itself. Loops and repeated edges don't matter; null ends are ignored. Fails where rounds
+    haven't settled after ``most_rounds``, which paths of some 2**60 vertices would need."""
     now = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     for _ in range(most_rounds):
@@ -38,4 +39,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if size == before:
             break
         before = size
+    else:
+        raise RuntimeError(f"components haven't settled after {most_rounds} rounds")
     return now.select(F.col("u").alias("v"), F.col("v").alias("root"))

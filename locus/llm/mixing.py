@@ -31,64 +31,6 @@ ROW_BLOCKS, HELD_SLOTS = 1024, 1 << 20
 PLAN = pa.schema([("__source", pa.string()), ("__part", pa.int64()), ("__first", pa.int64()), ("__slots", pa.list_(pa.int64()))])
 
 
-def ticks(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Whole ticks, one at least, that sum to the period: largest remainders."""
-    total = math.fsum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], s)):
-        if sum(out.values()) >= period:
-            break
-        out[s] += 1
-    while sum(out.values()) > period:
-        out[max(out, key=lambda s: (out[s] - exact[s] if out[s] > 1 else -period, s))] -= 1
-    return out
-
-
-def one_period(parts: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period, by earliest deadline among those released."""
-    period = sum(parts.values())
-    names = sorted(parts)
-    coming = [[] for _ in range(period)]
-    for k, s in enumerate(names):
-        for j in range(parts[s]):
-            coming[j * period // parts[s]].append((-(-(j + 1) * period // parts[s]), k))
-    ready: list[tuple[int, int]] = []
-    out: dict[str, list[int]] = {s: [] for s in names}
-    for slot in range(period):
-        for job in coming[slot]:
-            heapq.heappush(ready, job)
-        deadline, k = heapq.heappop(ready)
-        assert slot < deadline
-        out[names[k]].append(slot)
-    return out
-
-
-def schedule(blocks: dict[str, int], weights: dict[str, float], period: int = 1024) -> dict[str, list[dict]]:
-    """The same for weights rounded to ticks of a period that repeats, in which any slot follows by
-    arithmetic: after some periods it is off the target by more than a block, so mix() doesn't use it.
-    For each source its phases: the blocks first to last (not included) have the slot
-    slot0 + (i div ticks) * period + slots[i mod ticks], where i counts from first."""
-    period = max(period, 1 << (4 * len(blocks) - 1).bit_length()) if blocks else period
-    left, done, start = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0
-    out: dict[str, list[dict]] = {s: [] for s in blocks}
-    while left:
-        active = {s: weights.get(s, 0.0) for s in left if weights.get(s, 0.0) > 0} or {s: float(n) for s, n in left.items()}
-        parts = ticks(active, period)
-        plan = one_period(parts)
-        length = min((left[s] - 1) // parts[s] * period + plan[s][(left[s] - 1) % parts[s]] + 1 for s in active)
-        for s in active:
-            n = length // period * parts[s] + sum(x < length % period for x in plan[s])
-            if n:
-                out[s].append({"first": done[s], "last": done[s] + n, "slot0": start, "ticks": parts[s], "slots": plan[s]})
-            done[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        start += length
-    return {s: [p | {"period": period} for p in x] for s, x in out.items()}
-
-
 def order(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[str]:
     """The source of each slot's block, by earliest deadline among the released, with exact weights."""
     left = {s: n for s, n in blocks.items() if n}
@@ -164,17 +106,12 @@ def source_key(source_col: str = "source") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_docs: int = 8, power: float = 0.5, id_col: str = "doc_id", source_col: str = "source", seed: int = 10) -> DataFrame:
-    """docs, all columns, with __block (of its source, from 0), __slot and __place (in its block).
-
-    ``weights``: target weight of each source; without it a power of the sources' sizes. Sources without a
-    weight, or one that isn't above zero, come after all others, in proportion to their sizes. Every row of
-    docs comes once, repeated rows too; a null id or source is a value like others. In any prefix of the
-    slots of a phase a source is off its exact target weight by less than a block. The number of sources is
-    that of a weights table; the plan has a number for each block, in a written table that is joined.
-    """
+def _placed(docs: DataFrame, weights: dict[str | None, float] | None = None, block_docs: int = 8, power: float = 0.5, id_col: str = "doc_id", source_col: str = "source", seed: int = 10) -> DataFrame:
+    """Each row of docs, as __row, with __block, __slot and __place."""
     spark = docs.sparkSession
-    keyed = docs.withColumns({"__source": source_key(source_col), "__hash": F.xxhash64(F.col(id_col), F.lit(seed))})
+    own = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row.alias("__row"), source_key(source_col).alias("__source"), F.col(id_col).alias("__id"), F.xxhash64(F.col(id_col), *own, F.lit(seed)).alias("__hash"))
     counts = {r["__source"]: r["n"] for r in keyed.groupBy("__source").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     rows = max(256, math.isqrt(total))
@@ -191,18 +128,34 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_d
         given = {"" if s is None else f"={s}": w for s, w in weights.items()}
     slots = plan(spark, {s: -(-n // block_docs) for s, n in counts.items()}, given)
 
-    in_bucket = Window.partitionBy("__source", "__bucket").orderBy("__hash", id_col)
+    in_bucket = Window.partitionBy("__source", "__bucket").orderBy("__hash", "__id")
     rank = F.col("__before") + F.row_number().over(in_bucket) - 1
     placed = keyed.join(offsets, ["__source", "__bucket"]).withColumn("__rank", rank).withColumns({"__block": F.floor(F.col("__rank") / block_docs), "__place": F.col("__rank") % block_docs})
     placed = placed.withColumn("__part", F.floor(F.col("__block") / ROW_BLOCKS)).join(slots, ["__source", "__part"])
     slot = F.get("__slots", (F.col("__block") % ROW_BLOCKS).cast("int"))
-    return placed.withColumn("__slot", slot.cast("long")).select(*[F.col(c) for c in docs.columns], F.col("__block").cast("long"), "__slot", F.col("__place").cast("long"))
+    return placed.select("__row", F.col("__block").cast("long"), slot.cast("long").alias("__slot"), F.col("__place").cast("long"))
+
+
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, **how) -> DataFrame:
+    """docs with __block (of its source, from 0), __slot and __place (in its block), which replace own
+    columns of these names; all other columns stay, whatever their names.
+
+    ``weights``: target weight of each source; without it a power of the sources' sizes (``power``). Sources
+    without a weight, or one that isn't above zero, come after all others, in proportion to their sizes.
+    Every row of docs comes once; a null id or source is a value like others. Rows of a source are in the
+    order of a hash of their columns (but maps), so that rows of one id are spread over tasks; rows that are
+    equal in all of these are alike, and any of them may come first. In any prefix of the slots of a phase a
+    source is off its exact target weight by less than a block. The number of sources is that of a weights
+    table; the plan has a number for each block, in a written table that is joined.
+    """
+    places = ["__block", "__slot", "__place"]
+    return _placed(docs, weights, **how).select(*[F.col("__row")[c].alias(c) for c in docs.columns if c not in places], *places)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """docs in the order of the mixture: partitions, and rows in them, follow slots."""
+    """docs, with all their columns, in the order of the mixture: partitions, and rows in them, follow slots."""
     n = shuffle_partitions(docs.sparkSession)
-    return mix(docs, **how).repartitionByRange(n, "__slot", "__place").sortWithinPartitions("__slot", "__place").select(*docs.columns)
+    return _placed(docs, **how).repartitionByRange(n, "__slot", "__place").sortWithinPartitions("__slot", "__place").select("__row.*")
 
 
 def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

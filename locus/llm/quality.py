@@ -108,9 +108,11 @@ def training_rows(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, class_bytes: int = 4_000_000, dictionary_bytes: int = 112_640) -> Model:
     """Learn from a bounded sample of labelled rows, in the order of a hash of doc_id: at most
     ``sample_rows`` rows, of which one half makes dictionaries (whole texts, as many as have
-    ``class_bytes`` bytes in each class) and the other half the curve."""
+    ``class_bytes`` bytes in each class, but none of more than a quarter of that) and the other half the
+    curve. Of rows with one doc_id the least text is the one that counts."""
     chosen = training_rows(labels).withColumn("h", F.xxhash64("doc_id", F.lit(3))).orderBy("h", "doc_id").limit(sample_rows)
     found = docs.select(F.col("doc_id").cast("long"), whole().alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = found.groupBy("doc_id", "label", "h").agg(F.min("text").alias("text"))  # of rows of one id, one
     found = written(found.withColumn("half", F.pmod("h", F.lit(2))), "sample")
     sums = found.filter("half = 0").select("doc_id", "label", "h", F.octet_length("text").alias("n"), "text")
     sizes = sums.select("doc_id", "label", "h", "n").orderBy("h").toPandas()

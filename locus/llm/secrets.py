@@ -79,7 +79,8 @@ def features(found: DataFrame) -> DataFrame:
 
 def labelled_findings(spark: SparkSession, rows: int = 1400, seed: int = 9) -> DataFrame:
     """candidate, host, near, path and label (1: a secret), made by rule from numbers: access keys, assigned
-    passwords and tokens of several alphabets against digests, identifiers, paths, numbers and placeholders."""
+    passwords and tokens of several alphabets against digests, identifiers, paths, numbers and placeholders.
+    Kinds overlap: what is assigned in a test or an example is no secret though it looks the same."""
     h = "sha2(concat('{}', id, '-{}'), 512)"
     hexes, other = h.format("a", seed), h.format("b", seed)
     upper = f"translate(upper({hexes}), '0123456789ABCDEF', 'QX7WZ2KJ5VB3MHGT')"
@@ -106,11 +107,16 @@ def labelled_findings(spark: SparkSession, rows: int = 1400, seed: int = 9) -> D
         (0, f"concat({word(15)}, initcap({word(16)}), pmod(xxhash64(id, 9), 9), initcap({word(17)}), initcap({word(18)}))", "{c}", plain),
         (0, "substr(translate(" + hexes + ", 'abcdef', '142857'), 1, cast(16 + pmod(xxhash64(id, 9), 5) as int))", "{c}", f"concat('order ', {word(14)})"),
         (0, "concat('xxxxxxxxxxxxxxxx', pmod(xxhash64(id, 9), 90))", f"concat({name}, '=', {{c}})", "'example'"),
+        (0, f"substr({hexes}, 1, 40)", "concat('\"', {c}, '\"')", f"concat({name}, ' =')"),
+        (0, f"substr({mixed}, 1, cast(8 + pmod(xxhash64(id, 8), 12) as int))", "concat('\"', {c}, '\"')", f"concat({name}, ' =')"),
     ]
+    in_tests = f"concat(element_at(array('tests/', 'src/test/', 'examples/', 'docs/'), cast(pmod(xxhash64(id, 32), 4) + 1 as int)), {word(33)}, '.py')"
+    elsewhere = f"CASE WHEN pmod(xxhash64(id, 34), 2) = 0 THEN '' ELSE concat({word(35)}, '/', {word(36)}, '.py') END"
+    paths = [in_tests if k >= len(kinds) - 2 else f"CASE WHEN pmod(xxhash64(id, 37), {3 if label == 0 else 12}) = 0 THEN {in_tests} ELSE {elsewhere} END" for k, (label, *_) in enumerate(kinds)]
     kind = spark.range(rows).selectExpr("id", f"cast(pmod(id, {len(kinds)}) as int) AS kind")
     case = lambda xs: "CASE kind " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(xs)) + " END"
     made = kind.selectExpr("id", "kind", case([c for _, c, _, _ in kinds]) + " AS candidate", case([str(y) for y, _, _, _ in kinds]) + " AS label")
-    return made.selectExpr("candidate", case([x.replace("{c}", "candidate") for _, _, x, _ in kinds]) + " AS host", "concat(" + case([x for _, _, _, x in kinds]) + f", ' ', {word(19)}) AS near", "'' AS path", "label")
+    return made.selectExpr("candidate", case([x.replace("{c}", "candidate") for _, _, x, _ in kinds]) + " AS host", "concat(" + case([x for _, _, _, x in kinds]) + f", ' ', {word(19)}) AS near", case(paths) + " AS path", "label")
 
 
 def _gain(left: tuple[float, float], right: tuple[float, float]) -> float:
@@ -185,7 +191,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
     """A row for each candidate of each text: doc_id, word, nth, length, candidate_sha256, score, is_secret.
 
     Secrets are given by their digest, never in clear. A null or empty text has no candidates; repeated
-    rows are scanned each; a null path is empty; an empty table gives an empty result. Without labelled
+    rows are scanned each; very long texts are split into words like others, and no word is cut; a null path
+    is empty; other columns, whatever their names, aren't looked at; an empty table gives an empty result. Without labelled
     findings of both kinds every score is the share of the kind there is, or a half.
     """
     forest = grow(labelled_findings(docs.sparkSession) if findings is None else findings, **how)

@@ -1,3 +1,4 @@
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -6,54 +7,31 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from locus.llm import mixing
-from locus.llm.mixing import mix, mixed, one_period, order, schedule, ticks
+from locus.llm.mixing import mix, mixed, order
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.text(max_size=3), st.floats(0.001, 10), min_size=1, max_size=12))
-def test_a_period_deviates_by_less_than_one_block(weights):
-    parts = ticks(weights, 64)
-    assert sum(parts.values()) == 64 and min(parts.values()) >= 1
-    plan = one_period(parts)
-    assert sorted(x for xs in plan.values() for x in xs) == list(range(64))
-    for s, slots in plan.items():
-        done = 0
-        for t in range(1, 65):
-            done += t - 1 in slots
-            assert abs(done - parts[s] * t / 64) < 1
-
-
-def by_hand(blocks, weights, period):
+def by_hand(blocks, weights):
     """Slot by slot: in each phase the released block with the earliest deadline."""
-    left, done, order = dict(blocks), dict.fromkeys(blocks, 0), []
-    while any(left.values()):
-        live = {s: n for s, n in left.items() if n}
-        active = {s: weights.get(s, 0) for s in live if weights.get(s, 0) > 0} or {s: float(n) for s, n in live.items()}
-        parts, t, own = ticks(active, period), 0, dict.fromkeys(active, 0)
-        while all(left[s] for s in active):
-            ready = [(-(-(own[s] + 1) * period // parts[s]), s) for s in sorted(active) if own[s] * period // parts[s] <= t]
-            _, s = min(ready)
-            order.append((s, done[s]))
+    left, out = {s: n for s, n in blocks.items() if n}, []
+    while left:
+        exact = {s: Fraction(weights[s]) for s in left if weights[s] > 0} or {s: Fraction(n) for s, n in left.items()}
+        t, own, total = 0, dict.fromkeys(exact, 0), sum(exact.values())
+        while all(left[s] for s in exact):
+            ready = [(math.ceil((own[s] + 1) * total / w), s) for s, w in sorted(exact.items()) if math.floor(own[s] * total / w) <= t]
+            s = min(ready)[1]
+            out.append(s)
             own[s] += 1
-            done[s] += 1
             left[s] -= 1
             t += 1
-    return order
+        left = {s: n for s, n in left.items() if n}
+    return out
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.sampled_from("abcdef"), st.tuples(st.integers(0, 150), st.sampled_from([0.0, 0.1, 0.5, 1.0, 3.0])), min_size=1))
 def test_slots_are_those_of_a_scheduler_that_goes_slot_by_slot(sources):
     blocks, weights = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
-    plan = schedule(blocks, weights, 32)
-    period = max(32, 1 << (4 * len(blocks) - 1).bit_length())
-    slots = {}
-    for s, phases in plan.items():
-        for p in phases:
-            for b in range(p["first"], p["last"]):
-                i = b - p["first"]
-                slots[p["slot0"] + i // p["ticks"] * p["period"] + p["slots"][i % p["ticks"]]] = (s, b)
-    assert [slots[k] for k in range(len(slots))] == by_hand(blocks, weights, period)
+    assert list(order(blocks, weights)) == by_hand(blocks, weights)
 
 
 def rows(n=3000):
@@ -127,3 +105,13 @@ def test_prefixes_of_a_long_mix_follow_the_weights(frame, spark, monkeypatch):
     for t, s in got:
         done[s] += 1
         assert all(abs(done[x] - (t + 1) / 3) < 1 for x in weights)
+
+
+def test_own_columns_of_clashing_names_and_repeated_ids(frame):
+    docs = frame([(5, f"t{i}", "hot") for i in range(600)]).selectExpr("*", "text AS __slot", "text AS __row", "text AS __hash", "text AS __source")
+    got = mix(docs, block_docs=4)
+    assert [c for c in got.columns if c == "__slot"] == ["__slot"]
+    assert sorted(r["__slot"] * 4 + r["__place"] for r in got.collect()) == list(range(600)) and {r["__row"] for r in got.collect()} == {f"t{i}" for i in range(600)}
+    back = mixed(docs, block_docs=4)
+    assert back.columns == docs.columns
+    assert all(r["__slot"] == r["__row"] == r["__hash"] == r["__source"] == r["text"] for r in back.collect())

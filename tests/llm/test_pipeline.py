@@ -86,3 +86,11 @@ def test_odd_rows_and_empty_tables(spark, frame, odd, tmp_path):
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
         got = corpus_pipeline.run(spark, str(d)).collect()
         assert {r.doc_id for r in got} == ({2, 3, 5, 6, 7, 8} if rows else set())
+
+
+def test_exact_stage_takes_one_row_of_those_that_repeat_an_id(spark):
+    rows = [(1, "same", "b", 2), (1, "same", "a", 9), (None, "same", "c", 1), (None, None, "x", 1), (None, "", "w", 5), (2, "other", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __sha256 string, __row long")
+    got = corpus_pipeline.exact_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "same", "a", 9), (None, None, "x", 1), (2, "other", None, None)], key=repr)
