@@ -15,25 +15,28 @@ from locus.llm.common import in_written_order, table, whole, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier good than bad stay."""
+    """Documents that are likelier good than bad stay, repeated rows each; a null text counts as empty."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays; of rows that repeat it, one."""
+    """Of equal texts (null: empty) the row with the largest doc_id stays; of rows that repeat its id, the
+    least in the order of their columns. A null id is the smallest. Column names may be any."""
     kept = exact_dedup.exact_dedup(docs, keep="max").filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    named = docs.withColumn("__sha256", F.sha2(whole(), 256))
-    same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("__sha256") == F.col("__sha"))
-    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__sha256"]).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__of"), F.sha2(whole(), 256).alias("__sha256"))
+    same = F.col("__of").eqNullSafe(F.col("__id")) & (F.col("__sha256") == F.col("__sha"))
+    return rows.join(kept, same, "left_semi").groupBy("__of", "__sha256").agg(F.min("__row").alias("__row")).select("__row.*")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by similar word n-grams the row with the smallest doc_id stays."""
+    """Of documents that are linked by similar word n-grams the row with the smallest doc_id stays, one row
+    where it is repeated; rows are told apart by id and text, null ids too."""
     return jaccard_join.without_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture: of files, and of rows in them, which packing reads."""
+    """All documents, in the order of the mixture: of files, and of rows in them, which packing reads. Null
+    sources are a source, repeated rows stay."""
     return mixing.mixed(docs)
 
 
