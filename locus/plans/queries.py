@@ -720,7 +720,13 @@ def substitution_oligos(spark, d):
     return donors.substitution_oligos(rows, _synonyms(), donors.Layout())
 
 
-@query()
+def _with_pam(seq: str) -> str:
+    return "(" + " OR ".join(f"contains({seq}, g || '{b}GG') OR contains(translate(reverse({seq}), 'ACGT', 'TGCA'), g || '{b}GG')" for b in "ACTG") + ")"
+
+
+@query(""", t AS (SELECT chrom, u.i::INTEGER AS start, substring(seq, u.i, 60) AS donor FROM genome, unnest(generate_series(1, greatest(length(seq), 1), 60)) AS u(i)),
+x AS (SELECT chrom, start, donor, substring(donor, 11, 9) || 'A' || substring(donor, 21, 13) AS guide FROM t WHERE donor <> ''), y AS (SELECT *, left(guide, 20) AS g, guide || donor AS target FROM x)
+SELECT chrom, start, NOT """ + _with_pam("donor") + " AND " + _with_pam("target") + " AS disrupted FROM y", "genome")
 def disrupted_literally(spark, d):
     return _pairs(spark, d).select("chrom", "start", guides.disrupted_literally(F.substring("guide", 1, 20), F.col("donor"), F.concat(F.col("guide"), F.col("donor"))).alias("disrupted"))
 
