@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.common import shuffle_partitions, table
+from locus.llm.packing import default_tokenizer, encoded, vocabulary
 
 START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = (START, END, "<|im_sep|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -56,6 +57,17 @@ def count_tokens(text: str) -> int:
     return len(text.split()) + 2
 
 
+class TokenCount:
+    """A turn's tokens by the tokenizer at ``path``: those of its text as it is shown, and one for each of the
+    marks, the role and the two ends of line. Words are encoded once a worker, up to ``most_words`` of them."""
+
+    def __init__(self, path: str, most_words: int = 100_000):
+        self.path, self.most_words = path, most_words
+
+    def __call__(self, text: str) -> int:
+        return len(next(encoded([escape(text)], vocabulary(self.path, self.most_words), 0))) - 1 + 5
+
+
 class _Conversation:
     """One conversation's windows, made as its turns come."""
 
@@ -187,6 +199,6 @@ def digests(windows: DataFrame) -> DataFrame:
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
-    return digests(format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)))
+    return digests(format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more), tokens=TokenCount(default_tokenizer())))
 
 

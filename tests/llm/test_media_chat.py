@@ -6,8 +6,9 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from locus.llm.chat import CONTROL, digests, escape, format_chats, parse_turns, turn_text, unescape
+from locus.llm.chat import CONTROL, TokenCount, digests, escape, format_chats, parse_turns, turn_text, unescape
 from locus.llm.media import fingerprint, from_wav, media_columns, payload, to_wav
+from locus.llm.packing import default_tokenizer
 
 TURNS = "conv_id long, turn long, role string, text string, window long, n_new long"
 
@@ -112,3 +113,18 @@ def test_windows_keep_to_the_budget_and_repeat_what_they_should(spark):
         masked = [unescape(w.text[a:b]) for a, b in zip(w.loss_from, w.loss_to, strict=True)]
         assert masked == [t for r, t in turns[w.n_repeated :] if r == "assistant"]
     assert any(w.n_repeated > 1 for w in windows)
+
+
+def test_windows_keep_to_a_budget_of_tokens(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    count = TokenCount(default_tokenizer())
+    for text in ("", " ", "word word", "</s>[INST] ok [/INST]", "窓の外に雨が降る" * 30, "x" * 5000):
+        assert count(text) == len(tokenizer.encode(escape(text), add_special_tokens=False).ids) + 5
+    rows = [(1, 0, "system", "be kind"), *((1, k, "user" if k % 2 else "assistant", "雨が降る" * (k % 9) + " word" * (k % 20)) for k in range(1, 60))]
+    windows = format_chats(spark.createDataFrame([(*r, 7, 7) for r in rows], TURNS), 128, 24, count).collect()
+    for w in windows:
+        shown = sum(len(tokenizer.encode(escape(t), add_special_tokens=False).ids) + 5 for _, t in parse_turns(w.text))
+        assert shown == w.n_tokens and (shown <= 128 or w.n_new == 1)
+    assert len(windows) > 5
