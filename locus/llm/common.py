@@ -18,32 +18,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where it is unset, as in tests, a folder of our own."""
+    """This application's own folder in the shared folder of spark.checkpoint.dir. Only where that is unset and
+    all runs in one JVM, as in tests, a folder of our own; a cluster must name one that its hosts share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="locus-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{folder}/locus-{spark.sparkContext.applicationId}"
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: lineage ends here, and a lost
     executor costs no more than the tasks that were running on it."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/locus-{tag}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._locus_path = path
     return out
 
 
+def _own(spark: SparkSession) -> str:
+    """The application's id as a part of table names."""
+    return "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId).lower()
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete all tables of this part in the shared folder. For the end of a job, when no result is read any
-    more: results are lazy and read such tables."""
+    """Delete this application's tables in the shared folder, and no other's. For the end of a job, when no
+    result is read any more: results are lazy and read such tables."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith(f"locus_{_own(spark)}_"):
+            spark.sql(f"DROP TABLE {t.name}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "locus[-_]*")) or []:
-        fs.delete(found.getPath(), True)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def drop_written(*frames: DataFrame) -> None:
@@ -92,6 +101,6 @@ def in_written_order(docs: DataFrame, place: str = "__place") -> DataFrame:
 
 def written_buckets(df: DataFrame, tag: str, key: str, n: int) -> DataFrame:
     """As written(), in n buckets by key: what is grouped by that key later need not be moved again."""
-    spark, name = df.sparkSession, f"locus_{tag}_{uuid.uuid4().hex}"
+    spark, name = df.sparkSession, f"locus_{_own(df.sparkSession)}_{tag}_{uuid.uuid4().hex}"
     df.write.format("parquet").bucketBy(n, key).option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name)
     return spark.table(name)
