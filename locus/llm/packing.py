@@ -336,7 +336,8 @@ def pack(pieces_: DataFrame, size: int = 4096, group_items: int = 2048, islands:
 
     A piece as long as a sequence has one of its own. Groups hold ``group_items`` pieces on average,
     whatever the input; the number of groups follows the number of pieces. After a level, pieces in bins
-    filled below ``repack_below`` are pooled over all groups and packed again while that needs fewer groups.
+    filled below ``repack_below`` are pooled over all groups and packed again, until there is one group or
+    what is pooled needs more than nine tenths of the groups before, as pieces do that fit with no others.
     ``ordered``: the pieces' numbers are an order, which groups and the numbers of sequences follow.
     """
     alone = pieces_.filter(F.col("length") == size).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
@@ -350,12 +351,13 @@ def pack(pieces_: DataFrame, size: int = 4096, group_items: int = 2048, islands:
         parts.append(full.select("uid", number, "offset"))
         if last:
             break
-        items, level = placed.filter(F.col("fill") < repack_below * size).select("uid", "length"), level + 1
-        if items.isEmpty():
+        poor = placed.filter(F.col("fill") < repack_below * size)
+        if (left := poor.count()) == 0:
             break
-        if level == 3:  # pooled three times over: what is left stays as it is packed
-            parts.append(placed.filter(F.col("fill") < repack_below * size).select("uid", number, "offset"))
+        if math.ceil(left / group_items) > 0.9 * groups:
+            parts.append(poor.select("uid", number, "offset"))
             break
+        items, level = poor.select("uid", "length"), level + 1
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

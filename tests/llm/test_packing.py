@@ -5,7 +5,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from locus.llm import packing
-from locus.llm.packing import _Vocabulary, best_fit, default_tokenizer, encoded, evolve, least_bins, pack_documents
+from locus.llm.packing import _Vocabulary, best_fit, default_tokenizer, encoded, evolve, least_bins, pack, pack_documents
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +105,16 @@ def test_a_new_vocabulary_takes_from_the_one_before(tokenizer):
         words = packing.vocabulary(default_tokenizer(), 25)
         assert [x.tolist() for x in encoded(texts, words, 1)] == [[*e.ids, 1] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert words.older is not None and words.older.older is None and len(words) < 120
+
+
+def test_pooling_goes_on_while_it_gains_and_stops_where_nothing_fits(spark):
+    """Every piece in one place, sequences gapless; pieces that fit with no others end the pooling."""
+    rng = np.random.default_rng(5)
+    for lengths in ([60] * 300, rng.integers(30, 60, 400).tolist(), [5] * 50):
+        items = spark.createDataFrame([(k, int(n)) for k, n in enumerate(lengths)], "uid long, length long")
+        got = pack(items, size=100, group_items=16, generations=2).toPandas().sort_values(["sequence_id", "offset"])
+        assert len(got) == len(lengths)
+        for _, rows in got.groupby("sequence_id"):
+            assert rows["offset"].tolist() == np.cumsum([0, *rows["length"]])[:-1].tolist() and rows["length"].sum() <= 100
+        if lengths[0] == 60:
+            assert got["sequence_id"].nunique() == 300
