@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.common import shuffle_partitions, table
-from locus.llm.packing import default_tokenizer, encoded, vocabulary
+from locus.llm.packing import default_tokenizer, numbers_of_tokens, vocabulary
 
 START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = (START, END, "<|im_sep|>", "<|endoftext|>", "<|startoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -59,25 +59,29 @@ def count_tokens(text: str) -> int:
 
 class TokenCount:
     """A turn's tokens by the tokenizer at ``path``: those of its text as it is shown, and one for each of the
-    marks, the role and the two ends of line. Words are encoded once a worker, up to ``most_words`` of them."""
+    marks, the role and the two ends of line. Words are encoded once a worker, up to ``most_words`` of them,
+    and those of many texts together."""
 
     def __init__(self, path: str, most_words: int = 100_000):
         self.path, self.most_words = path, most_words
 
+    def many(self, texts: Iterable[str]) -> list[int]:
+        return [n + 5 for n in numbers_of_tokens(map(escape, texts), vocabulary(self.path, self.most_words))]
+
     def __call__(self, text: str) -> int:
-        return len(next(encoded([escape(text)], vocabulary(self.path, self.most_words), 0))) - 1 + 5
+        return self.many([text])[0]
 
 
 class _Conversation:
     """One conversation's windows, made as its turns come."""
 
-    def __init__(self, conv, budget: int, history: int, tokens):
-        self.conv, self.budget, self.history, self.tokens = conv, budget, history, tokens
+    def __init__(self, conv, budget: int, history: int):
+        self.conv, self.budget, self.history = conv, budget, history
         self.system, self.old, self.new, self.used, self.number, self.turns = None, [], [], 0, 0, 0
 
-    def add(self, role: str, text: str) -> dict | None:
+    def add(self, role: str, text: str, tokens: int) -> dict | None:
         """A window, if this turn doesn't go into it any more."""
-        turn = (role, text, self.tokens(text))
+        turn = (role, text, tokens)
         out = self.close() if self.new and self.used + turn[2] > self.budget else None
         if not self.new:
             self.used = (self.system[2] if self.system else 0) + sum(t[2] for t in self.old)
@@ -119,13 +123,14 @@ def _format(budget: int, history: int, tokens):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, out = None, []
         for pdf in batches:
-            for conv, role, text in zip(pdf["conv_id"].astype("Int64"), pdf["role"], pdf["text"], strict=True):
+            counts = tokens.many(pdf["text"]) if hasattr(tokens, "many") else map(tokens, pdf["text"])
+            for conv, role, text, n in zip(pdf["conv_id"].astype("Int64"), pdf["role"], pdf["text"], counts, strict=True):
                 conv = None if pd.isna(conv) else int(conv)
                 if now is None or now.conv != conv:
                     if now:
                         out.append(now.close())
-                    now = _Conversation(conv, budget, history, tokens)
-                if window := now.add(role, text):
+                    now = _Conversation(conv, budget, history)
+                if window := now.add(role, text, n):
                     out.append(window)
                 if len(out) >= 256:
                     yield _frame(out, NAMES)

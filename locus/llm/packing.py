@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -113,6 +113,15 @@ def encoded(texts: list[str], words: _Vocabulary, end: int) -> Iterator[np.ndarr
         yield np.append(_gathered(words.ids, begin, words.starts[at + 1] - begin), np.uint32(end))
 
 
+def numbers_of_tokens(texts: Iterable[str], words: _Vocabulary) -> list[int]:
+    """How many ids each text has, without an end id."""
+    found = [np.fromiter(map(words.__getitem__, t.encode().split()), np.int64) for t in texts]
+    if words.new:
+        words.settle()
+    lengths = np.diff(words.starts)
+    return [int(lengths[at].sum()) for at in found]
+
+
 PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("uid", pa.int64())])
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long"
 
