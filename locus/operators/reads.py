@@ -9,7 +9,7 @@ from locus.functions.sequence import cigar_bases, cigar_ops
 
 
 def collapsed(reads: DataFrame, min_count: int = 1, keys=()) -> DataFrame:
-    """seq, n, the quality of its last read and first_ord, of sequences with min_count reads; most first."""
+    """seq, n, the quality of its last read and first_ord, of sequences with min_count reads."""
     out = reads.groupBy(*keys, "seq").agg(F.count(F.lit(1)).alias("n"), F.max_by("qual", "ord").alias("qual"), F.min("ord").alias("first_ord"))
     return out.filter(F.col("n") >= min_count)
 
