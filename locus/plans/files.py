@@ -146,3 +146,58 @@ def annotations_of_gtf_file(spark, d):
 def features_of_gtf_file(spark, d):
     """Coordinates of one region type from a GTF file."""
     return annotate.features_from_gtf(_gtf(spark, d), "protein_coding")
+
+
+@query("""iso AS (SELECT CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, concat('chr', ['I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X', 'XI', 'XII', 'XIII', 'XIV', 'XV', 'XVI'][l_partkey % 16 + 1]) AS chrom,
+concat('YA', l_partkey % 80) AS orf, l_suppkey AS t5, 1000 + l_partkey AS t3, cast(l_quantity AS bigint) AS reads FROM lineitem),
+a AS (SELECT strand, chrom, orf, t5, CASE WHEN strand = '+' THEN -t5 ELSE t5 END AS step, sum(reads) AS r FROM iso GROUP BY ALL), b AS (SELECT strand, chrom, orf, t3, CASE WHEN strand = '-' THEN -t3 ELSE t3 END AS step, sum(reads) AS r FROM iso GROUP BY ALL),
+c AS (SELECT *, sum(r) OVER (PARTITION BY strand, chrom, orf ORDER BY step) / sum(r) OVER (PARTITION BY strand, chrom, orf) AS share FROM a), e AS (SELECT *, sum(r) OVER (PARTITION BY strand, chrom, orf ORDER BY step) / sum(r) OVER (PARTITION BY strand, chrom, orf) AS share FROM b)
+SELECT * FROM (SELECT strand, chrom, orf, cast(arg_min(t5, step) AS integer) AS five FROM c WHERE share >= 0.95 GROUP BY ALL) JOIN (SELECT strand, chrom, orf, cast(arg_min(t3, step) AS integer) AS three FROM e WHERE share >= 0.95 GROUP BY ALL) USING (strand, chrom, orf)""")
+def transcript_ends_of_file(spark, d):
+    """Transcript rows from a file, and the ends that hold most reads of each ORF."""
+    path, key = path_of(spark, "isoforms"), F.col("l_partkey")
+    strand = F.when(F.col("l_linestatus") == "O", "+").otherwise("-")
+    row = F.concat_ws(" ", key % 16 + 1, strand, "l_suppkey", key + 1000, F.col("l_quantity").cast("long"), F.lit("Covering one intact ORF"), F.concat(F.lit("YA"), key % 80))
+    p.read(spark, d, "lineitem").select(row.alias("value")).write.text(path)
+    return annotate.transcript_ends(text.isoforms(spark, path))
+
+
+@query(' SELECT chrom, strand, fend AS "start", fend + 1 AS "end" FROM feature WHERE fend - fstart > 25', "feature")
+def cluster_center_file(spark, d):
+    """Centres of mass of a cluster table whose last but one column is above zero."""
+    path = path_of(spark, "clusters")
+    own = p.features(spark, d).select("chrom", "fstart", F.concat(F.col("fend").cast("string"), F.lit(".4")).alias("centre"), "strand", (F.col("fend") - F.col("fstart") - 25).alias("value"), "fid")
+    sinks.table(own, path, ["chrom", "fstart"], header=False)
+    return text.cluster_centers(spark, path)
+
+
+_GUIDES = """, guide AS (SELECT chrom, cast(fid % 200 AS integer) AS pam_coord, strand AS pam_strand, substring(translate(md5(cast(fid AS varchar)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS guide, substring('AGGCGGTGGTTT', cast(fid % 4 * 3 + 1 AS integer), 3) AS pam, fid FROM feature),
+good AS (SELECT chrom, pam_coord, pam_strand, arg_max(guide, fid) AS guide, arg_max(pam, fid) AS pam, true AS allowed FROM guide WHERE pam IN ('AGG', 'CGG') GROUP BY ALL), other AS (SELECT chrom, pam_coord, pam_strand, arg_max(guide, fid) AS guide, arg_max(pam, fid) AS pam, false AS allowed FROM guide WHERE pam = 'TGG' GROUP BY ALL)"""
+
+
+@query(_GUIDES + " SELECT * FROM other UNION ALL SELECT * FROM good ANTI JOIN other USING (chrom, pam_coord, pam_strand)", "feature")
+def guide_file(spark, d):
+    """Guides with an allowed PAM from a file with a header, and those of two lists, the second's
+    where both have one."""
+    path, fid = path_of(spark, "guides"), F.col("fid")
+    bases = F.left(F.translate(F.md5(fid.cast("string")), *p.HEX_TO_BASE), F.lit(20))
+    pam = F.substring(F.lit("AGGCGGTGGTTT"), (fid % 4 * 3 + 1).cast("int"), F.lit(3))
+    own = p.features(spark, d).select("chrom", (fid % 200).alias("pam_coord"), F.col("strand").alias("pam_strand"), bases.alias("guide"), pam.alias("pam"), "fid")
+    sinks.table(own, path, ["fid"])
+    return text.merged_guides(text.guides(spark, path, ["AGG", "CGG"]), text.guides(spark, path, ["TGG"], allowed=False))
+
+
+@query("k AS (SELECT n_nationkey AS sample_number, n_name AS sample FROM nation) SELECT * FROM k WHERE sample_number NOT IN (1, 2) AND sample_number NOT BETWEEN 9 AND 21")
+def samples_in_use(spark, d):
+    """The key table without samples that aren't used."""
+    return reads.samples_to_use(p.read(spark, d, "nation").select(F.col("n_nationkey").alias("sample_number"), F.col("n_name").alias("sample")))
+
+
+@query(""", x AS (SELECT ord, seq AS r1, concat(substring(seq, cast(1 + ord % 32 AS integer)), 'ACGTTGCAACGTTGCA') AS r2 FROM reads), k AS (SELECT *, list_filter(generate_series(least(length(r1), length(r2)), 12, -1), lambda k: right(r1, k) = left(r2, k))[1] AS k FROM x)
+SELECT ord, concat(r1, substring(r2, cast(k + 1 AS integer))) AS merged FROM k WHERE k IS NOT NULL UNION ALL SELECT ord, NULL FROM k WHERE k IS NULL""", "reads")
+def merged_read_pairs(spark, d):
+    """Pairs of reads merged at their longest exact overlap; null without one."""
+    own = p.reads(spark, d)
+    tail = F.substring(F.col("seq"), (F.col("ord") % 32 + 1).cast("int"), F.length("seq"))
+    pairs = own.select("ord", F.col("seq").alias("r1"), F.concat(tail, F.lit("ACGTTGCAACGTTGCA")).alias("r2"))
+    return reads.merged_pairs(pairs).select("ord", "merged")
