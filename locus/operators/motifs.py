@@ -115,7 +115,8 @@ def signal_near_motifs(motifs: DataFrame, query: DataFrame, reference: DataFrame
     """
     near, far = upstream
     key = ["chrom", "strand", "mstart", "mend"]
-    m = motifs.select(*key).distinct().withColumn("side", F.explode(F.array(F.lit("+"), F.lit("-"))))
+    # Motifs of a column or two in compressed files seem small enough to broadcast, but aren't once they are spans.
+    m = motifs.select(*key).distinct().withColumn("side", F.explode(F.array(F.lit("+"), F.lit("-")))).hint("merge")
     plus = F.col("side") == "+"
     spans = {
         "up": (F.when(plus, F.col("mstart") - far).otherwise(F.col("mend") + near), F.when(plus, F.col("mstart") - near).otherwise(F.col("mend") + far)),
@@ -150,9 +151,8 @@ def signal_near_motifs(motifs: DataFrame, query: DataFrame, reference: DataFrame
     weight = F.when(F.col("kind") == 0, zero("q_sum")).when(F.col("kind") == 1, zero("f_sum")).otherwise(F.col("mean_rna"))
     ranked = out.withColumn("kind", kind).withColumn("weight", weight)
     of = Window.partitionBy(*key)
-    best = ranked.withColumn("__k", F.min("kind").over(of)).filter("kind = __k").withColumn("__n", F.row_number().over(of.orderBy(F.desc("weight"), F.col("side")))).filter("__n = 1")
-    plus_rna = m.filter("side = '+'").drop("side").join(ranked.filter("side = '+'").select(*key, F.col("mean_rna").alias("plus_mean")), key)
-    best = best.join(plus_rna, key, "left")
+    both = ranked.withColumns({"__k": F.min("kind").over(of), "plus_mean": F.max(F.when(plus, F.col("mean_rna"))).over(of)})
+    best = both.filter("kind = __k").withColumn("__n", F.row_number().over(of.orderBy(F.desc("weight"), F.col("side")))).filter("__n = 1")
     mean = F.col("mean_rna") if fixed else F.col("plus_mean")
     label = F.element_at(F.array(*map(F.lit, ("upregulated", "not_upregulated", "rna", "no_rna"))), F.col("kind") + 1)
     value = F.when(F.col("kind") == 0, F.col("fold")).when(F.col("kind") == 1, zero("f_sum")).otherwise(mean)

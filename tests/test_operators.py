@@ -333,6 +333,16 @@ def test_signal_near_motifs(spark, cov):
     assert call(none, none, rna)["class"] == "rna" and call(none, none, none)["class"] == "no_rna"
     minus = call(spark.createDataFrame([("c", "-", 120, 9.0)], COV), none, none)
     assert (minus["class"], minus.side, minus.distance) == ("upregulated", "-", -14)
+    minus_rna = spark.createDataFrame([("c", "-", p, 2.0) for p in range(50, 156)], COV)
+    assert [(x["class"], x.side, x.value) for x in (call(none, none, minus_rna), call(none, none, minus_rna, fixed=True))] == [("rna", "-", 0.0), ("rna", "-", 2.0)]
+
+
+def test_signal_near_many_motifs_without_a_broadcast(spark, cov):
+    """50,000 motifs are 400 kB to the planner, and as spans of two strands more than it would broadcast."""
+    m = spark.range(50_000).select(F.lit("c").alias("chrom"), F.lit("+").alias("strand"), (F.col("id") * 200).cast("int").alias("mstart"), (F.col("id") * 200 + 6).cast("int").alias("mend"))
+    found = motifs.signal_near_motifs(m, cov((585, 10)), cov((585, 1), (1010, 6)), cov(*[(p, 2) for p in range(1350, 1456)]), (8, 20), 20, 5, 2)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {x["class"]: x["count"] for x in found.groupBy("class").count().collect()} == {"upregulated": 1, "not_upregulated": 1, "rna": 1, "no_rna": 49_997}
 
 
 # ---- variants ---------------------------------------------------------------------------------------------
